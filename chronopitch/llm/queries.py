@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronopitch.llm import mixing, survivors, tokens
+from chronopitch.llm import mixing, names, survivors, tokens
 from chronopitch.session import cut, table
 
 
@@ -18,6 +18,25 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_survivors(spark, sf_dir).join(several, "canonical_id", "left_semi").select("canonical_id", "field_name", "record_id")
 
 
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name that the two tables hold: table_name, row_id, side, name."""
+    both = None
+    for name, home, away in (("football_data_timezone", "hometeam", "awayteam"), ("live_fixture", "home_team", "away_team")):
+        sides = F.array(*(F.struct(F.lit(s).alias("side"), F.col(c).alias("name")) for s, c in (("home", home), ("away", away))))
+        rows = table(spark, sf_dir, name).select(F.lit(name).alias("table_name"), "row_id", F.explode(sides).alias("s")).select("table_name", "row_id", "s.side", "s.name")
+        both = rows if both is None else both.unionByName(rows)
+    return both.where(F.col("name").isNotNull())
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed, teams = _typed(spark, sf_dir), table(spark, sf_dir, "team_reference")
+    linked = names.link_names(typed, teams)
+    # Names written exactly as in the reference are no case.
+    exact = teams.select("team_id", F.col("name")).distinct()
+    linked = linked.join(exact, ["team_id", "name"], "left_anti")
+    return typed.join(linked, "name").select("table_name", "row_id", "side", "team_id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -35,6 +54,6 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
-QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p5_found": p5_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 
 ORACLE: dict[str, str] = {}
