@@ -222,8 +222,13 @@ def schema_changes(entries: DataFrame) -> DataFrame:
     stats = path_statistics(path_values(rows), ["feed_id", "file_seq"])
     cell = F.struct("path", "kind", "n", "mean", "square", "letters", "blanks", "marks", "ends")
     files = stats.groupBy("feed_id", "file_seq").agg(F.collect_list(cell).alias("cells"))
-    before = files.select("feed_id", (F.col("file_seq") + 1).alias("file_seq"), F.col("cells").alias("old"))
-    pair = before.join(files.withColumnRenamed("cells", "new"), ["feed_id", "file_seq"])
+    # Each file's cells go to the comparison with the file before and to that with the file after; nothing is computed twice.
+    sides = F.array(F.struct(F.col("file_seq").alias("file_seq"), F.lit(1).alias("side")), F.struct((F.col("file_seq") + 1).alias("file_seq"), F.lit(0).alias("side")))
+    sides = files.select("feed_id", F.explode(sides).alias("s"), "cells")
+    pair = sides.groupBy("feed_id", "s.file_seq").agg(
+        F.first(F.when(F.col("s.side") == 0, F.col("cells")), ignorenulls=True).alias("old"),
+        F.first(F.when(F.col("s.side") == 1, F.col("cells")), ignorenulls=True).alias("new"),
+    ).where(F.col("old").isNotNull() & F.col("new").isNotNull())
     # Only paths whose set of types differs go on, with all their cells and those of their members.
     types = lambda c: F.array_sort(F.transform(c, lambda x: F.concat_ws("|", x["path"], F.coalesce(x["kind"], F.lit("null")))))
     keep = lambda side, own: F.transform(
