@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronopitch.llm import mixing, names, survivors, tokens
+from chronopitch.llm import entities, mixing, names, survivors, tokens
 from chronopitch.session import cut, table
 
 
@@ -37,6 +37,17 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.join(linked, "name").select("table_name", "row_id", "side", "team_id")
 
 
+def p7_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = table(spark, sf_dir, "source_observation").select(F.col("observation_id").alias("query_id"), F.col("entity_type").alias("kind"), "name", "attributes")
+    known = table(spark, sf_dir, "canonical_entities").select(F.col("canonical_id").alias("entity_id"), F.col("entity_type").alias("kind"), "name", "attributes")
+    found = entities.link_entities(seen, known)
+    return found.select(F.col("query_id").alias("observation_id"), F.col("entity_id").alias("canonical_id"), F.round("confidence", 6).alias("confidence"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_links(spark, sf_dir).select("observation_id", "canonical_id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -54,6 +65,6 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
-QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p5_found": p5_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p5_found": p5_found, "p7_found": p7_found, "p7_links": p7_links, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 
 ORACLE: dict[str, str] = {}
