@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronopitch.llm import entities, mixing, names, survivors, tokens
+from chronopitch.llm import entities, languages, mixing, names, survivors, tokens
 from chronopitch.session import cut, table
 
 
@@ -65,6 +65,16 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
-QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p5_found": p5_found, "p7_found": p7_found, "p7_links": p7_links, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return languages.language_segments(docs).withColumn("confidence", F.round("confidence", 6))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return languages.mislabelled(cut(languages.language_segments(docs))).select("doc_id", "seg_no", "lang")
+
+
+QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p5_found": p5_found, "p7_found": p7_found, "p7_links": p7_links, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_segments": p10_segments}
 
 ORACLE: dict[str, str] = {}
