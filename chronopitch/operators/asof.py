@@ -49,9 +49,9 @@ def as_known_at(events: DataFrame, versions: DataFrame, keep_unmatched: bool = F
     """
     spark = events.sparkSession
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    e = events.where(F.col("entity").isNotNull() & F.col("at").isNotNull()).select("event_id", "entity", micros("at").alias("at"))
+    e = events.where(F.col("entity").isNotNull() & F.col("at").isNotNull()).select("event_id", F.col("entity").alias("entity"), micros("at").alias("at"))
     v = versions.where(F.col("entity").isNotNull() & F.col("known_at").isNotNull() & F.col("version_id").isNotNull())
-    v = v.select("version_id", "entity", micros("known_at").alias("at"))
+    v = v.select("version_id", F.col("entity").alias("entity"), micros("known_at").alias("at"))
     buckets = width(spark, 2)
     both = e.select("entity", "at").unionAll(v.select("entity", "at"))
     bounds = hot_bounds(both, ["entity"], "at", buckets)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from chronopitch.plans import data_queries
+from chronopitch.plans import data_queries, pit_queries, scalar_queries
 
-QUERIES = dict(data_queries.QUERIES)
-ORACLE = dict(data_queries.ORACLE)
+PLANS = (data_queries, pit_queries, scalar_queries)
+QUERIES = {name: f for plan in PLANS for name, f in plan.QUERIES.items()}
+ORACLE = {name: sql for plan in PLANS for name, sql in plan.ORACLE.items()}
