@@ -1,4 +1,4 @@
-"""Score distributions as arrays of 121 cells (0-10 goals a side, home first) and what follows from them."""
+"""Score distributions of 0-10 goals a side, as one line of eleven cells per side, and what follows from them."""
 
 from __future__ import annotations
 
@@ -12,71 +12,87 @@ SIZE = TOP + 1
 _FACTORIAL = [float(math.factorial(k)) for k in range(SIZE)]
 
 
-def _line(rate: Column) -> Column:
-    factorials = F.array(*(F.lit(f) for f in _FACTORIAL))
-    return F.transform(F.sequence(F.lit(0), F.lit(TOP)), lambda k: F.exp(-rate) * F.pow(rate, k) / F.get(factorials, k))
+def poisson_line(rate: Column) -> Column:
+    """The probabilities of 0 to 10 goals, summing to one. Unrolled, so that it stays in generated code."""
+    cells = [F.exp(-rate) * F.pow(rate, F.lit(float(k))) / f for k, f in enumerate(_FACTORIAL)]
+    return F.array(*cells)
 
 
-def normalised(grid: Column) -> Column:
-    """Cells that sum to one."""
-    total = F.aggregate(grid, F.lit(0.0), lambda a, p: a + p)
-    return F.transform(grid, lambda p: p / total)
+def total(line: Column) -> Column:
+    out = F.get(line, 0)
+    for k in range(1, SIZE):
+        out = out + F.get(line, k)
+    return out
 
 
-def poisson_grid(home_rate: Column, away_rate: Column) -> Column:
-    """Independent goals of both sides."""
-    home, away = _line(home_rate), _line(away_rate)
-    return normalised(F.flatten(F.transform(home, lambda h: F.transform(away, lambda a: h * a))))
+def normalised(line: Column) -> Column:
+    whole = total(line)
+    return F.array(*(F.get(line, k) / whole for k in range(SIZE)))
 
 
-def dixon_coles(grid: Column, home_rate: Column, away_rate: Column, rho: float = -0.10) -> Column:
-    """The low-score correction of four cells, by the sides' attack averages."""
-    factor = lambda i: (
-        F.when(i == 0, 1.0 - home_rate * away_rate * rho).when(i == 1, 1.0 + home_rate * rho).when(i == SIZE, 1.0 + away_rate * rho).when(i == SIZE + 1, F.lit(1.0 - rho)).otherwise(1.0)
-    )
-    return normalised(F.transform(grid, lambda p, i: F.greatest(F.lit(0.0), p * factor(i))))
+def tempered(line: Column, temperature: Column | float) -> Column:
+    """Each cell to the power of one over the temperature. Of independent sides the joint grid splits into its lines,
+    tempered apart: (h * a) ** (1 / t) is h ** (1 / t) * a ** (1 / t)."""
+    t = F.lit(temperature) if isinstance(temperature, float) else temperature
+    return F.array(*(F.pow(F.get(line, k), 1.0 / t) for k in range(SIZE)))
 
 
-def tempered(grid: Column, temperature: Column | float) -> Column:
-    """Each cell to the power of one over the temperature."""
-    t = F.lit(temperature) if isinstance(temperature, float) else temperature
-    return normalised(F.transform(grid, lambda p: F.pow(p, 1.0 / t)))
+def grid(home: Column, away: Column) -> Column:
+    """The joint grid of two lines: 121 cells, home goals first."""
+    return F.array(*(F.get(home, h) * F.get(away, a) for h in range(SIZE) for a in range(SIZE)))
 
 
-def total_where(grid: Column, test) -> Column:
-    """The sum of the cells for whose goals `test(home, away)` holds, in order."""
-    cells = F.transform(grid, lambda p, i: F.when(test(F.floor(i / SIZE), F.pmod(i, F.lit(SIZE))), p).otherwise(0.0))
-    return F.aggregate(cells, F.lit(0.0), lambda a, p: a + p)
+def total_where(home: Column, away: Column, test) -> Column:
+    """The sum of the cells for whose goals `test(home, away)` holds."""
+    out = None
+    for h in range(SIZE):
+        row = None
+        for a in range(SIZE):
+            if test(h, a):
+                row = F.get(away, a) if row is None else row + F.get(away, a)
+        if row is not None:
+            out = F.get(home, h) * row if out is None else out + F.get(home, h) * row
+    return F.lit(0.0) if out is None else out
 
 
-def home_win(grid: Column) -> Column:
-    return total_where(grid, lambda h, a: h > a)
+def home_win(home: Column, away: Column) -> Column:
+    return total_where(home, away, lambda h, a: h > a)
 
 
-def draw(grid: Column) -> Column:
-    return total_where(grid, lambda h, a: h == a)
+def draw(home: Column, away: Column) -> Column:
+    return total_where(home, away, lambda h, a: h == a)
 
 
 def away_win(home: Column, level: Column) -> Column:
     return F.greatest(F.lit(0.0), 1.0 - home - level)
 
 
-def both_score(grid: Column) -> Column:
-    return total_where(grid, lambda h, a: (h > 0) & (a > 0))
+def both_score(home: Column, away: Column) -> Column:
+    return total_where(home, away, lambda h, a: h > 0 and a > 0)
 
 
-def over(grid: Column, line: float) -> Column:
-    return total_where(grid, lambda h, a: (h + a) > line)
+def over(home: Column, away: Column, line: float) -> Column:
+    return total_where(home, away, lambda h, a: h + a > line)
 
 
-def exact_total(grid: Column, goals: int) -> Column:
-    return total_where(grid, lambda h, a: (h + a) == goals)
+def exact_total(home: Column, away: Column, goals: int) -> Column:
+    return total_where(home, away, lambda h, a: h + a == goals)
 
 
-def score_probability(grid: Column, home: Column, away: Column) -> Column:
+def score_probability(home: Column, away: Column, home_goals: Column, away_goals: Column) -> Column:
     """Of one score; 0 off the grid."""
-    inside = home.between(0, TOP) & away.between(0, TOP)
-    return F.coalesce(F.when(inside, F.get(grid, (home * SIZE + away).cast("int"))), F.lit(0.0))
+    inside = home_goals.between(0, TOP) & away_goals.between(0, TOP)
+    return F.coalesce(F.when(inside, F.get(home, home_goals.cast("int")) * F.get(away, away_goals.cast("int"))), F.lit(0.0))
+
+
+def dixon_coles(home: Column, away: Column, home_rate: Column, away_rate: Column, rho: float = -0.10) -> tuple[Column, Column, Column]:
+    """(home win, draw, goalless) after the low-score correction of four cells, by the sides' attack averages."""
+    factors = {(0, 0): 1.0 - home_rate * away_rate * rho, (0, 1): 1.0 + home_rate * rho, (1, 0): 1.0 + away_rate * rho, (1, 1): F.lit(1.0 - rho)}
+    cell = {k: F.get(home, k[0]) * F.get(away, k[1]) for k in factors}
+    new = {k: F.greatest(F.lit(0.0), cell[k] * f) for k, f in factors.items()}
+    more = {k: new[k] - cell[k] for k in factors}
+    whole = 1.0 + more[0, 0] + more[0, 1] + more[1, 0] + more[1, 1]
+    return (home_win(home, away) + more[1, 0]) / whole, (draw(home, away) + more[0, 0] + more[1, 1]) / whole, new[0, 0] / whole
 
 
 def entropy(*p: Column) -> Column:

@@ -15,7 +15,8 @@ def scored(forecasts: DataFrame) -> DataFrame:
     """Row metrics of forecasts: p_home, p_draw, p_away and actual (0 home, 1 draw, 2 away). Ties of the top go to the first."""
     p = [F.col(c) for c in ("p_home", "p_draw", "p_away")]
     top = F.greatest(*p)
-    best = F.when(p[0] == top, 0).when(p[1] == top, 1).otherwise(2)
+    near = [F.round(x, 9) for x in p]  # sides of equal rates differ in the last bit only: that is a tie
+    best = F.when(near[0] == F.greatest(*near), 0).when(near[1] == F.greatest(*near), 1).otherwise(2)
     own = F.get(F.array(*p), F.col("actual").cast("int"))
     return forecasts.withColumns(
         {
@@ -56,13 +57,13 @@ def temperatures() -> list[float]:
 
 
 def temperature_losses(forecasts: DataFrame, by: list[str]) -> DataFrame:
-    """Mean log loss of each temperature of the grid. forecasts: grid (array), actual. 51 aggregates in one pass, no join."""
-    win = lambda g: F.array(P.home_win(g), P.draw(g))
-    loss = lambda t: F.lit(t)
-    rows = forecasts.withColumn("_t", F.explode(F.array(*(loss(t) for t in temperatures()))))
-    rows = rows.withColumn("_w", win(P.tempered(F.col("grid"), F.col("_t"))))
-    h, d = F.get("_w", 0), F.get("_w", 1)
-    own = F.when(F.col("actual") == 0, h).when(F.col("actual") == 1, d).otherwise(P.away_win(h, d))
+    """Mean log loss of each temperature of the grid, in one pass. forecasts: home_line, away_line, actual."""
+    rows = forecasts.withColumn("_t", F.explode(F.array(*(F.lit(t) for t in temperatures()))))
+    line = lambda c: P.tempered(F.col(c), F.col("_t"))
+    rows = rows.select(*by, "actual", "_t", line("home_line").alias("_h"), line("away_line").alias("_a"))
+    whole = P.total(F.col("_h")) * P.total(F.col("_a"))
+    rows = rows.select(*by, "actual", "_t", (P.home_win(F.col("_h"), F.col("_a")) / whole).alias("_hw"), (P.draw(F.col("_h"), F.col("_a")) / whole).alias("_dw"))
+    own = F.when(F.col("actual") == 0, F.col("_hw")).when(F.col("actual") == 1, F.col("_dw")).otherwise(P.away_win(F.col("_hw"), F.col("_dw")))
     return rows.groupBy(*by, F.col("_t").alias("temperature")).agg(F.avg(P.log_loss(own)).alias("loss"))
 
 
