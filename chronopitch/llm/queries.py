@@ -77,4 +77,19 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p5_found": p5_found, "p7_found": p7_found, "p7_links": p7_links, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_segments": p10_segments}
 
-ORACLE: dict[str, str] = {}
+_BLANK = ", ".join(f"'{b}'" for b in survivors.BLANKS)
+_NUMBER = ", ".join(str(n) for n in survivors.NO_NUMBERS)
+
+ORACLE: dict[str, str] = {
+    "p3_found": f"""
+        WITH r AS (SELECT record_id, canonical_id, lower(trim(entity_type)) AS kind, lower(trim(replace(current_source, chr(160), ' '))) AS src, current_knowledge_at AS known, name,
+                          CASE WHEN json_valid(attributes) AND json_type(attributes) = 'OBJECT' THEN attributes END AS attributes FROM canonical_entities WHERE canonical_id IS NOT NULL),
+        f AS (SELECT record_id, canonical_id, kind, src, known, 'name' AS field_name, name AS value FROM r
+              UNION ALL SELECT record_id, canonical_id, kind, src, known, e.key, e.value FROM (SELECT *, unnest(map_entries(json_transform(attributes, '"MAP(VARCHAR, VARCHAR)"'))) AS e FROM r) WHERE e.key <> 'name'),
+        i AS (SELECT *, lower(trim(replace(value, chr(160), ' '))) AS v FROM f WHERE value IS NOT NULL),
+        g AS (SELECT * FROM i WHERE v NOT IN ({_BLANK}) AND NOT coalesce(TRY_CAST(v AS DOUBLE) IN ({_NUMBER}) OR TRY_CAST(v AS DOUBLE) < 0, FALSE)),
+        a AS (SELECT lower(trim(entity_type)) AS kind, field_name, lower(trim(source)) AS src, min(trust_rank) AS rnk FROM source_authority GROUP BY ALL),
+        n AS (SELECT g.*, row_number() OVER (PARTITION BY canonical_id, g.field_name ORDER BY coalesce(rnk, 1000000), known DESC NULLS LAST, record_id) AS place
+              FROM g LEFT JOIN a ON a.kind = g.kind AND a.field_name = g.field_name AND a.src = g.src)
+        SELECT canonical_id, field_name, record_id FROM n WHERE place = 1 AND canonical_id IN (SELECT canonical_id FROM canonical_entities GROUP BY canonical_id HAVING count(DISTINCT record_id) > 1)""",
+}
