@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from bisect import insort
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronopitch.operators.ordered import with_last
+from chronopitch.operators.ordered import with_last, with_running
+from chronopitch.operators.skew import hot_bounds, piece
+from chronopitch.session import width
 
 #: How a match's facts became known, from the strongest basis to none.
 ACTUAL, KNOWN, REVISION, DERIVED, UNKNOWN = "actual_source_timestamp", "knowledge_timestamp", "revision_timestamp", "event_derived_reconstruction", "unknown"
@@ -52,26 +58,63 @@ def snapshot(matches: DataFrame, n: int = 5) -> DataFrame:
     return rows.groupBy("fixture_id", "kickoff_at").agg(*pick("home", True), *pick("away", False))
 
 
-def form_as_known(targets: DataFrame, history: DataFrame, n: int = 5, days: int = 370) -> DataFrame:
+def _running_form(n: int):
+    """Streams (team, piece, time)-ordered rows: history enters when it may be used, a target reads the n latest of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, latest, count = None, [], 0
+        for batch in batches:
+            out = [[] for _ in range(8)]
+            for team, piece, kind, weight, fixture, kickoff, points, gf, ga, row in zip(*(batch.column(i).to_pylist() for i in range(10))):
+                if (team, piece) != at:
+                    at, latest, count = (team, piece), [], 0
+                if kind < 1:
+                    count += weight
+                    if kickoff is not None and (len(latest) < n or (kickoff, fixture) > latest[0][:2]):
+                        insort(latest, (kickoff, fixture, points, gf, ga))
+                        del latest[:-n]
+                    continue
+                mean = lambda i: sum(r[i] for r in latest) / len(latest) if latest else None  # noqa: B023, E731
+                for values, v in zip(out, (row, len(latest), mean(2), mean(3), mean(4), latest[-1][0] if latest else None, count, team)):
+                    values.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], ["_row", "matches_seen", "points_avg", "goals_for_avg", "goals_against_avg", "_last", "_used", "_team"])
+
+    return run
+
+
+def form_as_known(targets: DataFrame, history: DataFrame, n: int = 5) -> DataFrame:
     """Per target side the averages over the last n matches that were played before kick-off and eligible by the cut-off.
 
-    targets: fixture_id, team, kickoff_at, cutoff_at; history: fixture_id, team, kickoff_at, eligible_at, gf, ga,
-    points. Both sides meet by team and the blocks of `days` a history row may still count in, so a team's history is
-    never paired with all of its targets. Matches later known than the cut-off are counted as blocked.
+    targets: fixture_id (long), team, kickoff_at, cutoff_at (not after kick-off); history: fixture_id, team, kickoff_at,
+    eligible_at, gf, ga, points. Matches played before kick-off but not eligible are counted as blocked. History and
+    targets are put in one order by team and time and read once, with n rows of state: no pairs of rows are made. A
+    team with more than its share of rows is cut by time, each piece starting from the n latest of those before it.
     """
-    day = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / 86_400_000_000 / days)
-    h = history.select(F.col("fixture_id").alias("h_fixture"), "team", F.col("kickoff_at").alias("h_kickoff"), "eligible_at", "gf", "ga", "points", F.explode(F.array(day("kickoff_at"), day("kickoff_at") + 1)).alias("block"))
-    t = targets.select("fixture_id", "team", "kickoff_at", "cutoff_at", day("kickoff_at").alias("block"))
-    pair = t.join(h, ["team", "block"]).where((F.col("h_kickoff") < F.col("kickoff_at")) & (F.col("h_fixture") != F.col("fixture_id")) & (F.col("h_kickoff") >= F.col("kickoff_at") - F.expr(f"INTERVAL {days} DAYS")))
-    fine = F.coalesce((F.col("eligible_at") <= F.col("cutoff_at")) & (F.col("h_kickoff") < F.col("cutoff_at")), F.lit(False))
-    # The last n by partial aggregation: bounded state, no sort of a side's whole history.
-    row = F.struct(F.col("h_kickoff"), F.col("h_fixture"), F.col("points"), F.col("gf"), F.col("ga"))
-    own = pair.where(fine).withColumn("_r", F.row_number().over(Window.partitionBy("fixture_id", "team").orderBy(F.desc("h_kickoff"), F.desc("h_fixture")))).where(F.col("_r") <= n)
-    seen = own.groupBy("fixture_id", "team").agg(F.count(row).alias("matches_seen"), F.avg("points").alias("points_avg"), F.avg("gf").alias("goals_for_avg"), F.avg("ga").alias("goals_against_avg"), F.max("h_kickoff").alias("_last"))
-    blocked = pair.where(~fine).groupBy("fixture_id", "team").agg(F.count("*").alias("blocked"))
-    out = targets.select("fixture_id", "team", "kickoff_at", "cutoff_at").join(seen, ["fixture_id", "team"], "left").join(blocked, ["fixture_id", "team"], "left").na.fill({"matches_seen": 0, "blocked": 0})
-    rest = (F.unix_micros(F.col("kickoff_at").cast("timestamp")) - F.unix_micros(F.col("_last").cast("timestamp"))) / F.lit(86_400_000_000.0)
-    return out.withColumn("rest_days", rest).drop("_last")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    t = targets.select("fixture_id", F.col("team").cast("string").alias("t"), micros("kickoff_at").alias("kickoff"), micros("cutoff_at").alias("time"))
+    h = history.where("eligible_at IS NOT NULL").select(F.col("fixture_id").alias("fixture_id"), F.col("team").cast("string").alias("t"), micros("kickoff_at").alias("kickoff"), F.greatest(micros("eligible_at"), micros("kickoff_at") + 1).alias("time"), *(F.col(c).cast("double").alias(c) for c in ("points", "gf", "ga")))
+    none = F.lit(None).cast("double")
+    rows = h.withColumns({"kind": F.lit(0), "weight": F.lit(1).cast("long")}).unionByName(t.withColumns({"points": none, "gf": none, "ga": none, "kind": F.lit(1), "weight": F.lit(0).cast("long")}))
+    bounds = hot_bounds(rows.select("t", "time"), ["t"], "time", width(rows.sparkSession, 2))
+    rows = rows.join(F.broadcast(bounds), "t", "left").withColumn("piece", piece(F.col("time"), F.col("bounds")))
+    # What a piece of a hot team starts from: the number of rows in the pieces before it, and the n latest of each.
+    own = rows.where((F.col("kind") == 0) & F.col("bounds").isNotNull())
+    tops = own.withColumn("_r", F.row_number().over(Window.partitionBy("t", "piece").orderBy(F.desc("kickoff"), F.desc("fixture_id")))).where(F.col("_r") <= n).drop("_r").withColumn("weight", F.lit(0).cast("long"))
+    sizes = own.groupBy("t", "piece", "bounds").agg(F.sum("weight").alias("weight")).withColumns({"fixture_id": F.lit(None).cast("long"), "kickoff": F.lit(None).cast("long"), "time": F.lit(0).cast("long"), "points": none, "gf": none, "ga": none, "kind": F.lit(0)})
+    ahead = tops.unionByName(sizes).withColumn("piece", F.explode(F.when(F.col("piece") < F.size("bounds"), F.sequence(F.col("piece") + 1, F.size("bounds"))))).withColumns({"kind": F.lit(-1), "time": F.lit(-(2**62))})
+    names = ["t", "piece", "kind", "weight", "fixture_id", "kickoff", "points", "gf", "ga", "row", "time"]
+    line = rows.unionByName(ahead).withColumn("row", F.col("fixture_id")).select(*names)
+    line = line.repartition("t", "piece").sortWithinPartitions("t", "piece", "time", "kind", "kickoff", "fixture_id").drop("time")
+    schema = "_row long, matches_seen long, points_avg double, goals_for_avg double, goals_against_avg double, _last long, _used long, _team string"
+    got = line.mapInArrow(_running_form(n), schema)
+    # All matches played before, eligible or not, by a running count.
+    all_h = history.select(F.col("team").cast("string").alias("t"), micros("kickoff_at").alias("kickoff"), F.lit(None).cast("long").alias("fixture_id"), F.lit(1).cast("long").alias("one"))
+    played = with_running(all_h.unionByName(t.select("t", "kickoff", "fixture_id", F.lit(0).cast("long").alias("one"))), ["t"], "kickoff", {"played": F.col("one")}).where("fixture_id IS NOT NULL")
+    out = targets.select("fixture_id", "team", "kickoff_at", "cutoff_at", F.col("team").cast("string").alias("_team"), F.col("fixture_id").alias("_row"))
+    out = out.join(got, ["_team", "_row"]).join(played.select(F.col("t").alias("_team"), F.col("fixture_id").alias("_row"), "played"), ["_team", "_row"])
+    rest = (micros("kickoff_at") - F.col("_last")) / F.lit(86_400_000_000.0)
+    return out.withColumns({"blocked": F.col("played") - F.col("_used"), "rest_days": rest}).drop("_team", "_row", "_last", "_used", "played")
 
 
 def missingness(value: Column, blocked: Column, provider_blocked: Column | None = None, counts: bool = False) -> Column:

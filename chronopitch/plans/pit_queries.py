@@ -69,7 +69,7 @@ _ELIGIBLE = f"""
 WITH {MATCHES}, {TEAM_ROWS},
 t AS (SELECT fixture_id, team, kickoff_at, kickoff_at - INTERVAL 6 HOUR AS cutoff_at FROM team_rows),
 p AS (SELECT t.*, h.fixture_id AS hf, h.kickoff_at AS hk, h.points, h.gf, h.ga, h.kickoff_at + to_hours(CAST(h.delay_hours + 3 AS INTEGER)) <= t.cutoff_at AND h.kickoff_at < t.cutoff_at AS fine
-      FROM t JOIN team_rows h ON h.team = t.team AND h.status <> 'scheduled' AND h.kickoff_at < t.kickoff_at AND h.fixture_id <> t.fixture_id AND h.kickoff_at >= t.kickoff_at - INTERVAL 370 DAY),
+      FROM t JOIN team_rows h ON h.team = t.team AND h.status <> 'scheduled' AND h.kickoff_at < t.kickoff_at),
 b AS (SELECT fixture_id, team, count(*) AS blocked FROM p WHERE NOT fine GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY fixture_id, team ORDER BY hk DESC, hf DESC) AS n FROM p WHERE fine),
 a AS (SELECT fixture_id, team, count(*) AS seen, avg(points) AS pts, avg(gf) AS gf, avg(ga) AS ga, max(hk) AS hk FROM r WHERE n <= 5 GROUP BY ALL)"""
