@@ -136,10 +136,10 @@ def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", N.content_id("ev-", F.col("doc_id"), F.col("source"), length=20).alias("evidence_id"))
 
 
-@query("""SELECT row_id, list_sort(list_distinct(list_concat(coalesce(evidence_ids, []), ['ev-' || coalesce(source, 'none')]))) AS evidence FROM live_fixture""")
+@query("""SELECT row_id, array_to_string(list_sort(list_distinct(list_concat(coalesce(evidence_ids, []), ['ev-' || coalesce(source, 'none')]))), ',') AS evidence FROM live_fixture""")
 def evidence_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence ids, united, each once, in order."""
-    return table(spark, sf_dir, "live_fixture").select("row_id", N.evidence_union(F.col("evidence_ids"), F.array(F.concat(F.lit("ev-"), F.coalesce("source", F.lit("none"))))).alias("evidence"))
+    return table(spark, sf_dir, "live_fixture").select("row_id", F.array_join(N.evidence_union(F.col("evidence_ids"), F.array(F.concat(F.lit("ev-"), F.coalesce("source", F.lit("none"))))), ",").alias("evidence"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, array_to_string(list_filter([CASE WHEN l_quantity > 45 THEN 'too_many' END, CASE WHEN l_discount > 0.09 THEN 'discount' END, CASE WHEN l_tax IS NULL THEN 'no_tax' END], lambda x: x IS NOT NULL), ',') AS codes
