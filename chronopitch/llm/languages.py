@@ -235,7 +235,9 @@ def fit(docs: DataFrame, labelled: int = LABELLED) -> Filter:
     for _ in range(2):
         part = sample.mapInArrow(_count(known, languages), "code string, gram string, n long").where(F.col("code").isin(languages))
         wide = part.groupBy("gram").agg(*(F.sum(F.when(F.col("code") == c, F.col("n")).otherwise(0)).alias(c) for c in languages))
-        got = {r["gram"]: [r[c] for c in languages] for r in wide.toLocalIterator()}
+        # As many rows as the bounded sample has n-grams, whatever the size of the corpus.
+        counted = wide.toPandas()
+        got = dict(zip(counted["gram"], counted[languages].to_numpy().tolist()))
         total = [max(1, n) for n in got.pop("", [0] * len(languages))]
         rare = 2 if sum(total) > 400 else 1
         rates = {g: [n / t if n >= rare else 0.0 for n, t in zip(per, total)] for g, per in got.items() if max(per) >= rare}
