@@ -23,7 +23,7 @@ def earliest_by(rows: DataFrame, key: list[str], *order: Column) -> DataFrame:
 
 def _pieces(rows: DataFrame, key: list[str], order: str) -> DataFrame:
     bounds = hot_bounds(rows.select(*key, order), key, order, width(rows.sparkSession, 2))
-    return rows.join(F.broadcast(bounds), key, "left").withColumn("_piece", piece(F.col(order), F.col("bounds"))).drop("bounds")
+    return rows.join(F.broadcast(bounds), key, "left").withColumns({"_piece": piece(F.col(order), F.col("bounds")), "_hot": F.col("bounds").isNotNull()}).drop("bounds")
 
 
 def with_last(rows: DataFrame, key: list[str], order: str, tie: str, n: int, values: dict[str, Column]) -> DataFrame:
@@ -33,9 +33,10 @@ def with_last(rows: DataFrame, key: list[str], order: str, tie: str, n: int, val
     the last n rows of all its pieces before as a halo, so every frame is whole; frames of other keys need none.
     """
     cut = _pieces(rows, key, order)
+    hot = cut.where("_hot")  # only hot keys have more than one piece: the rest is sorted once, for its own frames
     tail = Window.partitionBy(*key, "_piece").orderBy(F.desc(order), F.desc(tie))
-    tails = cut.where(F.col("_piece").isNotNull()).withColumn("_t", F.row_number().over(tail)).where(F.col("_t") <= n).drop("_t")
-    several = cut.groupBy(*key).agg(F.max("_piece").alias("_last")).where("_last > 0")
+    tails = hot.withColumn("_t", F.row_number().over(tail)).where(F.col("_t") <= n).drop("_t")
+    several = hot.groupBy(*key).agg(F.max("_piece").alias("_last")).where("_last > 0")
     # At most n rows of each piece before, for the pieces of hot keys only.
     ahead = tails.join(F.broadcast(several), key).withColumn("_to", F.explode_outer(F.when(F.col("_piece") < F.col("_last"), F.sequence(F.col("_piece") + 1, F.col("_last")))))
     near = Window.partitionBy(*key, "_to").orderBy(F.desc(order), F.desc(tie))
@@ -43,7 +44,7 @@ def with_last(rows: DataFrame, key: list[str], order: str, tie: str, n: int, val
     both = cut.withColumn("_halo", F.lit(False)).unionByName(halo.select(*cut.columns).withColumn("_halo", F.lit(True)))
     frame = Window.partitionBy(*key, "_piece").orderBy(order, tie)
     out = both.select("*", *((f(frame) if callable(f) else f.over(frame.rowsBetween(-n, -1))).alias(name) for name, f in values.items()))
-    return out.where(~F.col("_halo")).drop("_halo", "_piece")
+    return out.where(~F.col("_halo")).drop("_halo", "_piece", "_hot")
 
 
 def with_running(rows: DataFrame, key: list[str], order: str, sums: dict[str, Column], strictly: bool = True) -> DataFrame:
@@ -53,10 +54,11 @@ def with_running(rows: DataFrame, key: list[str], order: str, sums: dict[str, Co
     """
     cut = _pieces(rows, key, order)
     named = [(n, F.coalesce(c, F.lit(0))) for n, c in sums.items()]
-    totals = cut.groupBy(*key, "_piece").agg(*(F.sum(c).alias(f"_{n}") for n, c in named))
+    totals = cut.where("_hot").groupBy(*key, "_piece").agg(*(F.sum(c).alias(f"_{n}") for n, c in named))
     before = Window.partitionBy(*key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*key, "_piece", *(F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n, _ in named))
     frame = Window.partitionBy(*key, "_piece").orderBy(order).rangeBetween(Window.unboundedPreceding, -1 if strictly else 0)
     inner = cut.select("*", *(F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"_own_{n}") for n, c in named))
-    out = inner.join(totals, [*key, "_piece"])
+    # Hot keys are few and have few pieces.
+    out = inner.join(F.broadcast(totals), [*key, "_piece"], "left").na.fill(0, [f"_{n}" for n, _ in named])
     return out.select(*(F.col(f"`{c}`") for c in rows.columns), *((F.col(f"_own_{n}") + F.col(f"_{n}")).alias(n) for n, _ in named))
