@@ -76,6 +76,17 @@ ORACLE = {
         d AS (SELECT entry_id, epoch_us(known) AS known, (epoch_us(ev) // 86400000000 + 1) * 86400000000 AS day_end FROM e WHERE ev IS NOT NULL AND known IS NOT NULL)
         SELECT entry_id, CASE WHEN known < day_end + 172800000000 THEN 'corrects' ELSE 'dropped' END AS outcome
         FROM d WHERE known >= day_end""",
+    "p2_counts": """
+        WITH e AS (
+          SELECT entry_id, min(source) AS source, min(capability) AS capability, epoch_us(min(knowledge_at)) AS known,
+                 epoch_us(min(coalesce(CASE WHEN source_observed_at >= TIMESTAMPTZ '1990-01-01 00:00:00+00' AND source_observed_at < TIMESTAMPTZ '9000-01-01 00:00:00+00' AND source_observed_at <= knowledge_at + INTERVAL 366 DAY THEN source_observed_at END,
+                              CASE WHEN available_at >= TIMESTAMPTZ '1990-01-01 00:00:00+00' AND available_at < TIMESTAMPTZ '9000-01-01 00:00:00+00' AND available_at <= knowledge_at + INTERVAL 366 DAY THEN available_at END))) AS ev
+          FROM ledger_entry GROUP BY entry_id),
+        d AS (SELECT *, ev // 86400000000 * 86400000000 AS start FROM e WHERE ev IS NOT NULL AND known IS NOT NULL),
+        o AS (SELECT *, CASE WHEN known < start + 86400000000 THEN 0 WHEN known < start + 259200000000 THEN 1 ELSE 2 END AS outcome FROM d)
+        SELECT source, capability, make_timestamptz(start) AS period_start, count(*) FILTER (WHERE outcome = 0) AS first_count, count(*) FILTER (WHERE outcome < 2) AS final_count, count(*) FILTER (WHERE outcome = 1) AS corrections,
+               count(*) FILTER (WHERE outcome = 2) AS dropped, make_timestamptz(max(CASE WHEN outcome = 1 THEN known END)) AS corrected_at, min(CASE WHEN outcome = 1 THEN (ev - start) // 3600000000 END) AS first_step_replaced
+        FROM o GROUP BY source, capability, start""",
     "p4_found": """
         WITH t AS (SELECT DISTINCT task_id, lower(trim(fixture_id)) AS f, capability, scheduled_for FROM observation_task),
         e AS (SELECT DISTINCT entry_id, lower(trim(fixture_id)) AS f, capability, knowledge_at FROM ledger_entry WHERE state = 'success' AND NOT operational_probe),

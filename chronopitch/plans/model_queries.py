@@ -238,7 +238,10 @@ def monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out.withColumn("status", E.sample_status(F.col("n"))), "mean_entropy", "log_loss")
 
 
-@query()
+@query(f"""WITH {RATES}, {GRID}, tt AS (SELECT 0.5 + 0.05 * i AS t FROM range(0, 51) AS x(i)),
+pw AS (SELECT min(r.season) AS season, g.fixture_id, t, min(r.actual) AS actual, sum(CASE WHEN h > a THEN pow(p, 1.0 / t) ELSE 0 END) / sum(pow(p, 1.0 / t)) AS ph, sum(CASE WHEN h = a THEN pow(p, 1.0 / t) ELSE 0 END) / sum(pow(p, 1.0 / t)) AS pd FROM grid g JOIN rates r ON r.fixture_id = g.fixture_id, tt GROUP BY g.fixture_id, t),
+ls AS (SELECT season, t, avg(-ln(least(1.0, greatest(1e-15, CASE actual WHEN 0 THEN ph WHEN 1 THEN pd ELSE greatest(0.0, 1.0 - ph - pd) END)))) AS loss FROM pw GROUP BY season, t)
+SELECT season, round(arg_min(CAST(t AS DOUBLE), struct_pack(a := round(loss, 12), b := t)), 6) AS temperature, round(min(loss), 6) AS loss FROM ls GROUP BY season""")
 def temperature_grid_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The temperature of least loss over all forecasts, per season."""
     losses = E.temperature_losses(_lines(spark, sf_dir).select("season", "home_line", "away_line", "actual"), ["season"])
