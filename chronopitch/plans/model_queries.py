@@ -167,7 +167,7 @@ k AS (SELECT *, count(*) OVER w AS n_before, greatest(0.05, coalesce(nullif(sum(
 
 @query(f"""WITH {_WALK} SELECT fixture_id, coalesce(n_before, 0) AS n_before, CASE WHEN coalesce(n_before, 0) >= 100 THEN round(hm, 6) END AS home_mean, CASE WHEN coalesce(n_before, 0) >= 100 THEN round(am, 6) END AS away_mean FROM k""")
 def walk_forward_poisson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Means over all earlier cut-offs, as sufficient statistics instead of refits."""
+    """Means over all earlier cut-offs, as sufficient statistics instead of refits."""
     m = matches(spark, sf_dir).where("status = 'completed'").withColumn("cutoff", F.unix_micros(F.col("kickoff_at").cast("timestamp")))
     out = E.training_means(m.select("fixture_id", "competition", "cutoff", "home_goals", "away_goals"), ["competition"], 100)
     return _rounded(out.select("fixture_id", "n_before", "home_mean", "away_mean"), "home_mean", "away_mean")
@@ -249,7 +249,7 @@ def temperature_grid_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _season_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loss per model and season: Poisson, Dixon-Coles, and outcome frequencies as the baseline."""
+    """Loss per model and season: Poisson and Dixon-Coles of fixed priors, and as 'frequency' one constant Poisson pair, which counts nothing."""
     rows = _lines(spark, sf_dir).withColumns({"ph": P.home_win(*LINES), "pd": P.draw(*LINES)})
     dc = P.dixon_coles(*LINES, F.col("home_attack"), F.col("away_attack"))
     rows = rows.withColumns({"dh": dc[0], "dd": dc[1], "_fh": P.poisson_line(F.lit(2.0)), "_fa": P.poisson_line(F.lit(1.5))})
@@ -272,10 +272,53 @@ s AS (SELECT model, season, count(*) AS n, avg(loss) AS loss FROM l GROUP BY mod
 t AS (SELECT *, pooled + 0.10 * spread AS score FROM m), b AS (SELECT *, (SELECT score FROM t WHERE model = 'frequency') AS base, (SELECT arg_min(model, struct_pack(a := score, b := model)) FROM t) AS best FROM t)
 SELECT model, round(pooled, 6) AS pooled, round(spread, 6) AS spread, round(score, 6) AS score, model = best AND (model = 'frequency' OR score <= base - 0.005) AS selected FROM b""")
 def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Models ranked by loss and its spread over seasons; only a clear winner is selected."""
+    """Fixed models ranked by loss and its spread over seasons against a constant pair; `walk_forward_selection` refits them."""
     return _rounded(E.ranking(_season_losses(spark, sf_dir), "frequency"), "pooled", "spread", "score")
 
 
+def _walk_forward(spark: SparkSession, sf_dir: str, least: int = 100) -> DataFrame:
+    """(fixture_id, season, actual, model, p_home, p_draw, p_away): four models, each fit on the matches of its
+    competition with a strictly earlier cut-off, for matches that have `least` of them. Refits are running sums."""
+    from chronopitch.operators.ordered import with_running
+
+    c, key = F.col, ["competition"]
+    m = matches(spark, sf_dir).where("status = 'completed' AND home_goals IS NOT NULL AND away_goals IS NOT NULL").withColumn("cutoff", F.unix_micros(c("kickoff_at").cast("timestamp")))
+    rows = E.training_means(m.select("fixture_id", "competition", "season", "cutoff", "home_goals", "away_goals"), key, least)
+    h, a = (F.least(c(x), F.lit(P.TOP)) for x in ("home_goals", "away_goals"))  # the last cell of the grid holds all beyond
+    rows = with_running(rows, key, "cutoff", {"wins": (h > a).cast("long"), "level": (h == a).cast("long")}).where(c("n_before") >= least)
+    form = pit.snapshot(matches(spark, sf_dir)).drop("kickoff_at")
+    rows = rows.join(form, "fixture_id").join(ratings.elo(m, strictly=True).select("fixture_id", "home_before", "away_before"), "fixture_id")
+    hm, am = c("home_mean"), c("away_mean")
+    home, away = P.poisson_rates(c("home_goals_for_avg"), c("away_goals_against_avg"), c("away_goals_for_avg"), c("home_goals_against_avg"), hm, am)
+    eh, ea = P.elo_rates(c("home_before"), c("away_before"), hm, am)
+    attack = lambda name, rest: F.coalesce(F.nullif(P.usable(c(name), rest), F.lit(0.0)), rest)
+    actual = F.when(c("home_goals") > c("away_goals"), 0).when(c("home_goals") == c("away_goals"), 1).otherwise(2)
+    rows = rows.select("fixture_id", "season", actual.alias("actual"), "n_before", "wins", "level", home.alias("hr"), away.alias("ar"), eh.alias("er"), ea.alias("fr"), attack("home_goals_for_avg", hm).alias("ha"), attack("away_goals_for_avg", am).alias("aa"))
+    lines = {"home_line": "hr", "away_line": "ar", "elo_home": "er", "elo_away": "fr"}
+    rows = rows.withColumns({f"_{n}": P.poisson_line(c(r)) for n, r in lines.items()}).withColumns({n: P.normalised(c(f"_{n}")) for n in lines})
+    dh, dd, _ = P.dixon_coles(*LINES, c("ha"), c("aa"))
+    cells = F.lit(0.5 * P.SIZE * P.SIZE) + c("n_before")  # every score is seen half a time more
+    beyond = 0.5 * P.SIZE * (P.SIZE - 1) / 2
+    each = {
+        "frequency": ((c("wins") + beyond) / cells, (c("level") + 0.5 * P.SIZE) / cells), "poisson": (P.home_win(*LINES), P.draw(*LINES)),
+        "elo": (P.home_win(c("elo_home"), c("elo_away")), P.draw(c("elo_home"), c("elo_away"))), "dixon_coles": (dh, dd),
+    }
+    models = F.array(*(F.struct(F.lit(n).alias("model"), p.alias("p_home"), d.alias("p_draw")) for n, (p, d) in each.items()))
+    long = rows.select("fixture_id", "season", "actual", F.explode(models).alias("m")).select("fixture_id", "season", "actual", "m.*")
+    return long.withColumn("p_away", P.away_win(c("p_home"), c("p_draw")))
+
+
+@query()
+def walk_forward_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequency, Poisson, Elo and Dixon-Coles, refit at each cut-off on what came before it, ranked by loss
+    and its spread over seasons. Without a winner by the margin the frequency baseline is selected."""
+    losses = E.scored(_walk_forward(spark, sf_dir)).groupBy("model", "season").agg(F.count("*").alias("population"), F.avg("log_loss").alias("log_loss"))
+    out = E.ranking(cut(losses), "frequency")
+    any_ = out.agg(F.max("selected").alias("any"))
+    out = out.crossJoin(F.broadcast(any_)).withColumn("selected", F.col("selected") | (~F.col("any") & (F.col("model") == "frequency"))).drop("any")  # a single row
+    return _rounded(out, "pooled", "spread", "score")
+
+
 @query()
 def calibration_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A temperature fit on the first half of each competition, judged on the second half, season by season."""
