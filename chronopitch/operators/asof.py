@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronopitch.operators.skew import hot_bounds, piece
+from chronopitch.operators.skew import buckets_of, hot_bounds, piece
 from chronopitch.session import width
 
 
@@ -22,12 +23,13 @@ def _latest(events: pa.Table, versions: pa.Table) -> pa.Table:
     Both sides' entities are numbered alike; versions are ordered by entity, time and, last first, id, and each event
     is looked up to the right of all versions of its entity and time.
     """
-    keys = pa.chunked_array([*events["entity"].chunks, *versions["entity"].chunks], pa.string()).combine_chunks().dictionary_encode()
-    codes = keys.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    # Large strings: the texts of a bucket may pass what 32-bit offsets reach.
+    keys = pa.chunked_array([*events["entity"].chunks, *versions["entity"].chunks], pa.string()).cast(pa.large_string()).combine_chunks()
+    codes = keys.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     ours, theirs = codes[: len(events)], codes[len(events) :]
     at, known = events["at"].to_numpy(), versions["at"].to_numpy()
     rank = np.empty(len(versions), np.int64)
-    rank[np.asarray(pa.compute.sort_indices(versions["version_id"]))] = np.arange(len(versions))
+    rank[np.asarray(pc.sort_indices(versions["version_id"]))] = np.arange(len(versions))
     order = np.lexsort((-rank, known, theirs))
     # Times as ranks among both sides' times, so that entity and time make one number to search by.
     times = np.unique(np.concatenate([at, known]))
@@ -38,7 +40,11 @@ def _latest(events: pa.Table, versions: pa.Table) -> pa.Table:
     return pa.table({"event_id": events["event_id"].filter(pa.array(hit)), "version_id": versions["version_id"].take(pa.array(rows)), "at": versions["at"].take(pa.array(rows))})
 
 
-def as_known_at(events: DataFrame, versions: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+#: Rows that one bucket holds at most about: a task's Arrow tables, whatever the size of the data.
+ROWS = 1_000_000
+
+
+def as_known_at(events: DataFrame, versions: DataFrame, keep_unmatched: bool = False, rows_a_bucket: int = ROWS) -> DataFrame:
     """(event_id, version_id, known_at): for each event the version of its entity with the greatest known_at <= at.
 
     events: event_id string, entity string, at timestamp; versions: version_id string, entity string, known_at
@@ -52,9 +58,10 @@ def as_known_at(events: DataFrame, versions: DataFrame, keep_unmatched: bool = F
     e = events.where(F.col("entity").isNotNull() & F.col("at").isNotNull()).select("event_id", F.col("entity").alias("entity"), micros("at").alias("at"))
     v = versions.where(F.col("entity").isNotNull() & F.col("known_at").isNotNull() & F.col("version_id").isNotNull())
     v = v.select("version_id", F.col("entity").alias("entity"), micros("known_at").alias("at"))
-    buckets = width(spark, 2)
     both = e.select("entity", "at").unionAll(v.select("entity", "at"))
-    bounds = hot_bounds(both, ["entity"], "at", buckets)
+    counted = both.groupBy("entity").agg(F.count("*").alias("_n"))
+    buckets = buckets_of(counted, "_n", width(spark, 2), rows_a_bucket)
+    bounds = hot_bounds(both, ["entity"], "at", buckets, counts=counted)
     cut = lambda df: df.join(F.broadcast(bounds), "entity", "left").withColumn("piece", piece(F.col("at"), F.col("bounds")))
     e, v = cut(e).drop("bounds"), cut(v)
     # The last version of each piece of a hot entity goes along into the pieces after it, up to the next that has one.
@@ -64,7 +71,8 @@ def as_known_at(events: DataFrame, versions: DataFrame, keep_unmatched: bool = F
     ahead = ahead.withColumn("before", F.expr("filter(pieces, p -> p.piece < piece)")).where(F.size("before") > 0)
     ahead = ahead.select(F.expr("element_at(before, -1).last.version_id").alias("version_id"), "entity", F.expr("element_at(before, -1).last.at").alias("at"), "piece")
     v = v.drop("bounds").unionByName(ahead)
-    bucket = F.pmod(F.xxhash64("entity", "piece"), F.lit(buckets)).alias("bucket")
+    bucket = F.pmod(F.xxhash64("entity", "piece"), F.col("buckets")).alias("bucket")
+    e, v = (df.join(F.broadcast(buckets)) for df in (e, v))
     got = (
         e.select("event_id", "entity", "at", bucket)
         .groupBy("bucket")

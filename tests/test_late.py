@@ -52,3 +52,31 @@ def test_times_that_are_none(spark):
     got = {r["entry_id"]: r["outcome"] for r in late.replayed(rows_of(spark, rows), ["source", "capability"]).collect()}
     assert got == {"stand-in": "dropped", "edge": "corrects", "cut-off": "dropped"}
     assert late.replayed(rows_of(spark, rows).limit(0), ["source", "capability"]).count() == 0
+
+
+def test_the_counts_come_from_the_replay(spark, monkeypatch):
+    """A replay that goes wrong shows: the counts are its totals, the outcomes its revisions."""
+    day = datetime(2024, 3, 1)
+    rows = [(f"e{i}", "s", "c", day, day, day + timedelta(hours=h)) for i, h in enumerate([1, 2, 30, 40, 100])]
+    read = lambda run: {(r["first_count"], r["final_count"], r["corrections"], r["dropped"]) for r in late.counts(run, ["source", "capability"], ["string", "string"]).collect()}
+    whole = late.replayed(rows_of(spark, rows), ["source", "capability"])
+    assert read(whole) == {(2, 4, 2, 1)}
+
+    class Forgetful(late.Replay):
+        def late(self, times):
+            first, total = super().late(times)
+            return first, total - 1
+
+    monkeypatch.setattr(late, "Replay", Forgetful)
+    assert read(late.replayed(rows_of(spark, rows), ["source", "capability"])) != {(2, 4, 2, 1)}
+
+
+def test_small_buckets_and_salted_days_give_the_same(spark):
+    random.seed(8)
+    day = datetime(2024, 3, 1)
+    rows = [(f"e{i}", f"s{i % 5 % 2}", "c", day + timedelta(seconds=random.randrange(200_000)), None, day + timedelta(hours=random.randrange(150))) for i in range(900)]
+    key = ["source", "capability"]
+    few, many = (late.replayed(rows_of(spark, rows), key, rows_a_bucket=n) for n in (10**6, 20))
+    assert {(r["entry_id"], r["outcome"]) for r in few.collect()} == {(r["entry_id"], r["outcome"]) for r in many.collect()}
+    assert sorted(map(tuple, late.counts(few, key, ["string"] * 2).collect())) == sorted(map(tuple, late.counts(many, key, ["string"] * 2).collect()))
+    assert many.agg({"salt": "max"}).head()[0] > 0
