@@ -1,3 +1,7 @@
+import itertools
+import random
+
+import numpy as np
 import pytest
 
 from chronopitch.operators import timestamps as T
@@ -39,13 +43,79 @@ def test_dates_with_times(date, time, expected):
 
 
 def test_the_path_keeps_to_one_order():
-    orders = {"/": ("dmy", "mdy")}
-    path, out = T.Path(), {}
-    for i, text in enumerate(["13/06/2024 10:00", "07/06/2024 10:00", "08/06/2024 10:00", "15/06/2024 10:00", "nothing"]):
-        for tag, got in path.step(i, T.readings(text, None, LONDON, orders)):
-            out[tag] = got
-    out |= dict(path.flush())
-    assert [out[i] and T.utc_text(out[i][1])[:10] for i in range(5)] == ["2024-06-13", "2024-06-07", "2024-06-08", "2024-06-15", None]
+    texts = ["07/06/2024 10:00", "13/06/2024 10:00", "08/06/2024 10:00", "15/06/2024 10:00"]
+    read = [T.readings(t, None, LONDON) for t in texts]
+    assert [len(r) for r in read] == [2, 1, 2, 1]
+    # The source's own day-first dates outweigh its usual order, for the same separator only.
+    chosen = T.decide(read, T.beginning("mdy"))
+    assert [T.utc_text(r[c][1])[:10] for r, c in zip(read, chosen)] == ["2024-06-07", "2024-06-13", "2024-06-08", "2024-06-15"]
+    dotted = T.readings("01.02.2024 10:00", None, LONDON)
+    assert dotted[T.decide([*read, dotted], T.beginning("mdy"))[-1]][0] == "mdy."
+    assert dotted[T.decide([*read, dotted], T.beginning("dmy"))[-1]][0] == "dmy."
+
+
+def brute(records, start):
+    """All paths of readings with all sequences of states."""
+    best = (np.inf, None)
+    for path in itertools.product(*(range(len(r)) for r in records)):
+        cost, last = start.copy(), None
+        for r, k in zip(records, path):
+            form, micros, _ = r[k]
+            jump = T.BACK * np.log2(1 + max(0, last - micros) / 3.6e9) if last is not None else 0.0
+            turn = np.full(8, np.inf)
+            for s in range(8):
+                t = s
+                if form[:3] in ("dmy", "mdy"):
+                    bit = 1 << "/-.".index(form[3])
+                    t = s | bit if form.startswith("mdy") else s & ~bit
+                turn[t] = min(turn[t], cost[s] + jump + T.SWITCH * (s != t))
+            cost, last = turn, micros
+        best = min(best, (float(cost.min()), path), key=lambda x: x[0])
+    return best
+
+
+def cost_of(records, chosen, start):
+    return brute([[r[c]] for r, c in zip(records, chosen)], start)[0]
+
+
+def test_the_path_is_the_cheapest_however_it_is_cut():
+    rng = random.Random(4)
+    for n in range(60):
+        records, at = [], 1_700_000_000_000_000
+        for _ in range(rng.randrange(1, 9)):
+            at += rng.randrange(-40, 60) * 86_400_000_000
+            if rng.random() < 0.3:
+                records.append([("ymd", at, None)])
+            else:
+                by = rng.choice("/-.")
+                both = [(f"dmy{by}", at, None), (f"mdy{by}", at + rng.randrange(-90, 90) * 86_400_000_000, None)]
+                records.append(both if rng.random() < 0.6 else [rng.choice(both)])
+        start = T.beginning(rng.choice(["dmy", "mdy"]))
+        least = brute(records, start)[0]
+        assert abs(cost_of(records, T.decide(records, start), start) - least) < 1e-9
+        edges = sorted({0, len(records), *(rng.randrange(len(records) + 1) for _ in range(3))})
+        pieces = [records[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        chosen = []
+        for piece, (entry, first, *end) in zip(pieces, T.settle([(p[0], p[-1], T.transfer(p)) for p in pieces], start)):
+            chosen += T.decide(piece, np.where(T.STATES == entry, 0.0, np.inf), first, tuple(end))
+        assert abs(cost_of(records, chosen, start) - least) < 1e-9, n
+
+
+def test_partitions_do_not_change_the_readings(spark):
+    rng = random.Random(2)
+    rows = [(f"k{i:04}", "s" if i % 3 else "t", f"{rng.randrange(1, 13):02}{rng.choice('/.')}{rng.randrange(1, 13 if i % 40 else 29):02}/2024 10:00".replace("./", ".."), None, i) for i in range(400)]
+    rows = [(k, s, t if t.count("/") != 1 else t.replace("/", "."), None, p) for k, s, t, _, p in rows]
+    df = spark.createDataFrame(rows, "row_key string, source string, text string, time string, place long")
+    manifest = spark.createDataFrame([("s", "UTC", "mdy"), ("t", "UTC", "dmy")], "source string, source_timezone string, date_order string")
+    got = []
+    for n in ("1", "7", "23"):
+        kept = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got.append(sorted(map(tuple, T.to_utc(df, manifest).collect())))
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got[0] == got[1] == got[2] and len(got[0]) == 400
 
 
 def test_tables(spark):
