@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from chronopitch.session import cut
+
 #: Levels of nested objects that the JVM unrolls; whatever is deeper goes through `_deeper`, whole.
-LEVELS = 3
+LEVELS = 5
 
 #: JSON types by the name that Spark gives a variant.
 OBJECT, ARRAY, STRING, BOOLEAN, WHOLE, FRACTION = "object", "array", "string", "boolean", "whole", "fraction"
@@ -76,13 +78,9 @@ def _deeper(path: pd.Series, text: pd.Series) -> pd.Series:
     return pd.Series([below(p, t) for p, t in zip(path, text)])
 
 
-def path_values(rows: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per member at any depth: path, kind (null for JSON null), text, and the columns of `rows` but the payload.
-
-    Rows whose payload is null, no JSON or no object give no members; `unreadable_payloads` counts them.
-    """
+def _levels(rows: DataFrame, payload: str) -> DataFrame:
+    """`rows` without the payload, with _m0 to _m4: the members on each level, which the JVM unrolls."""
     kept = [F.col(f"`{c}`") for c in rows.columns if c != payload]
-    keys = [c for c in rows.columns if c != payload]
     level = rows.select(*kept, F.try_parse_json(F.col(payload)).alias("_v"))
     level = level.withColumn("_m0", F.expr(_members("_v", None)))
     for n in range(1, LEVELS):
@@ -90,13 +88,35 @@ def path_values(rows: DataFrame, payload: str = "payload") -> DataFrame:
             f"_m{n}",
             F.expr(f"flatten(transform(filter(_m{n - 1}, x -> x.schema LIKE 'OBJECT%'), x -> {_members('x.value', 'x.path')}))"),
         )
+    return level.drop("_v")
+
+
+_LAST = f"filter(_m{LEVELS - 1}, x -> x.schema LIKE 'OBJECT%')"
+_TEXT = "try_variant_get({}.value, '$', 'string')"
+
+
+@F.pandas_udf(_LEAF)
+def _deeper_all(objects: pd.Series) -> pd.Series:
+    """`_deeper` of several objects of one row."""
+    below = _deeper.func
+    return pd.Series([[m for o in row for m in below(pd.Series([o["path"]]), pd.Series([o["text"]]))[0]] for row in objects])
+
+
+def path_values(rows: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per member at any depth: path, kind (null for JSON null), text, and the columns of `rows` but the payload.
+
+    Rows whose payload is null, no JSON or no object give no members; `unreadable_payloads` counts them.
+    """
+    keys = [c for c in rows.columns if c != payload]
+    kept = [F.col(f"`{c}`") for c in keys]
+    level = _levels(rows, payload)
     member = level.select(*kept, F.explode(F.concat(*(F.col(f"_m{n}") for n in range(LEVELS)))).alias("m"))
-    flat = member.select(
-        *kept, F.col("m.path").alias("path"), json_kind(F.col("m.schema")).alias("kind"), F.expr("try_variant_get(m.value, '$', 'string')").alias("text")
-    )
-    # An object at the last unrolled level may hold more members: its text goes on, whole.
-    last = level.select(*kept, F.explode(F.expr(f"filter(_m{LEVELS - 1}, x -> x.schema LIKE 'OBJECT%')")).alias("m"))
-    deep = last.select(*kept, F.explode(_deeper(F.col("m.path"), F.expr("try_variant_get(m.value, '$', 'string')"))).alias("d"))
+    flat = member.select(*kept, F.col("m.path").alias("path"), json_kind(F.col("m.schema")).alias("kind"), F.expr(_TEXT.format("m")).alias("text"))
+    # An object at the last unrolled level may hold more members: its text goes on, whole. A text with no more opening
+    # braces than there are levels holds no such object and is not parsed again.
+    braces = F.length(payload) - F.length(F.replace(F.col(payload), F.lit("{"), F.lit("")))
+    last = _levels(rows.where(braces > LEVELS), payload).select(*kept, F.explode(F.expr(_LAST)).alias("m"))
+    deep = last.select(*kept, F.explode(_deeper(F.col("m.path"), F.expr(_TEXT.format("m")))).alias("d"))
     return flat.unionByName(deep.select(*(F.col(f"`{k}`") for k in keys), "d.path", "d.kind", "d.text"))
 
 
@@ -106,6 +126,11 @@ def unreadable_payloads(rows: DataFrame, payload: str = "payload") -> DataFrame:
     return rows.where(~F.coalesce(schema.startswith("OBJECT"), F.lit(False)))
 
 
+#: Levels of value marks, each of a sixteenth of the values of the one before (enough for 64 million distinct values),
+#: and the most bits of a level that are told apart.
+MARKS, SPARSE = 6, 40
+
+
 def path_statistics(members: DataFrame, by: list[str]) -> DataFrame:
     """Per `by`, path and kind: how many values, and what they look like, in a fixed number of plain aggregates."""
     text = F.col("text")
@@ -113,16 +138,25 @@ def path_statistics(members: DataFrame, by: list[str]) -> DataFrame:
     number = F.when(F.col("kind") == BOOLEAN, (text == "true").cast("double")).otherwise(number)
     size = F.length(text).cast("double")
     measure = F.coalesce(F.when(F.isnan(number), None).otherwise(number), size)
-    mark = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(64)).cast("int"))
     words = F.col("kind").isin(STRING, ARRAY)
+
+    def marks(c: Column) -> Column:
+        """Bits of the values' hashes: of all of them, then of every 16th value, and so on, so that one level stays sparse."""
+        h = F.when(words, F.xxhash64(c))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+        rest = F.shiftrightunsigned(h, 6)
+        levels = [F.bit_or(F.when(rest.bitwiseAND(F.lit(16**n - 1)) == 0, bit).otherwise(F.lit(0).cast("long"))) for n in range(MARKS)]
+        return F.array(*levels)
+
     return members.groupBy(*by, "path", "kind").agg(
         F.count("*").alias("n"),
         F.avg(measure).alias("mean"),
         F.avg(measure * measure).alias("square"),
         F.avg(F.when(words, F.length(F.regexp_replace(text, "[0-9]", ""))) / F.greatest(size, F.lit(1.0))).alias("letters"),
         F.avg(F.when(words, F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))))).alias("blanks"),
-        F.bit_or(F.when(words, mark(text)).otherwise(F.lit(0).cast("long"))).alias("marks"),
-        F.bit_or(F.when(words, mark(F.regexp_extract(text, r"([A-Za-z]+)[^A-Za-z]*$", 1))).otherwise(F.lit(0).cast("long"))).alias("ends"),
+        marks(text).alias("marks"),
+        marks(F.regexp_extract(text, r"([A-Za-z]+)[^A-Za-z]*$", 1)).alias("ends"),
+        F.max(F.when(F.col("kind") == WHOLE, size)).cast("int").alias("longest"),
     )
 
 
@@ -156,7 +190,8 @@ def _content_likeness(a: dict, b: dict) -> float:
         like *= math.exp(-max(0.0, abs((a["blanks"] or 0) - (b["blanks"] or 0)) - 0.3 - 1.5 / math.sqrt(min(n, m))))
         share = 0.0
         for k in ("marks", "ends"):
-            x, y = a[k] & (2**64 - 1), b[k] & (2**64 - 1)
+            pairs = [(int(x) & (2**64 - 1), int(y) & (2**64 - 1)) for x, y in zip(a[k], b[k])]
+            x, y = next((p for p in pairs if max(p[0].bit_count(), p[1].bit_count()) <= SPARSE), pairs[-1])
             share = max(share, (x & y).bit_count() / max(1, min(x.bit_count(), y.bit_count())))
         like *= 0.15 + 0.85 * min(1.0, 1.3 * share)
     return like
@@ -211,6 +246,12 @@ def _compare(cells: pd.Series) -> pd.Series:
     return pd.Series([_changes([dict(c) if isinstance(c, dict) else c.asDict() for c in group]) for group in cells])
 
 
+def file_statistics(entries: DataFrame) -> DataFrame:
+    """Path-type statistics by file: feed_id, file_seq, path, kind and what `path_statistics` measures."""
+    rows = entries.where(F.col("feed_id").isNotNull() & F.col("file_seq").isNotNull()).select("feed_id", "file_seq", "payload")
+    return path_statistics(path_values(rows), ["feed_id", "file_seq"])
+
+
 def schema_changes(entries: DataFrame) -> DataFrame:
     """(feed_id, file_seq, change_kind, field_name, to_name): each change of a payload field against the file before.
 
@@ -218,8 +259,11 @@ def schema_changes(entries: DataFrame) -> DataFrame:
     compared. Null feed ids or numbers and unreadable payloads give nothing; repeated rows change nothing; an empty
     table gives no rows; extra columns are ignored. What one task holds is the width of a file's schema, not its rows.
     """
-    rows = entries.where(F.col("feed_id").isNotNull() & F.col("file_seq").isNotNull()).select("feed_id", "file_seq", "payload")
-    stats = path_statistics(path_values(rows), ["feed_id", "file_seq"])
+    return changes_between(file_statistics(entries))
+
+
+def changes_between(stats: DataFrame) -> DataFrame:
+    """The changes of `schema_changes`, from the statistics by file."""
     cell = F.struct("path", "kind", "n", "mean", "square", "letters", "blanks", "marks", "ends")
     files = stats.groupBy("feed_id", "file_seq").agg(F.collect_list(cell).alias("cells"))
     # Each file's cells go to the comparison with the file before and to that with the file after; nothing is computed twice.
@@ -277,43 +321,113 @@ def consistent_names(path: str, names: dict[str, str]) -> str:
     return out
 
 
-def consistent_table(entries: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
-    """One row per distinct entry: its payload's fields under one name each, typed, with the casts that failed.
+#: Written forms of truth values.
+TRUE, FALSE = ("true", "1", "yes", "y"), ("false", "0", "no", "n")
+#: Whole numbers beyond this lose digits as a double.
+EXACT = 2**53
+
 
-    Columns: entry_id, feed_id, file_seq; `numbers` (map of field to double), `texts` (map of field to string) and
-    `failed_casts` (fields that hold another type than the field's usual one over all files and could not be cast to
-    it). A field's usual type is the one most of its values have. Values that the source wraps as {value, origin}
-    are unwrapped, and arrays keep their JSON text. Repeated entries count once; unreadable payloads give empty maps.
+def _column_type(kinds: dict[str, int], longest: int) -> str:
+    """The type of a field's column: that of most of its values; whole numbers are kept exact."""
+    numbers = kinds.get(WHOLE, 0) + kinds.get(FRACTION, 0)
+    ranked = {k: n for k, n in kinds.items() if k not in (WHOLE, FRACTION)} | ({"number": numbers} if numbers else {})
+    usual = max(ranked, key=lambda k: (ranked[k], k))
+    if usual == "number":
+        return "double" if kinds.get(FRACTION) else "bigint" if longest <= 18 else "decimal(38,0)"
+    return {BOOLEAN: "boolean", ARRAY: "array<string>", OBJECT: OBJECT}.get(usual, "string")
+
+
+def table_fields(stats: DataFrame, names: dict[str, str]) -> tuple[dict[str, tuple[str, str]], dict[str, str]]:
+    """(path to (field, column type), field to column name), from the statistics: as many as the schema is wide.
+
+    A field whose values come wrapped in objects in some files takes their member `value`; the other members are fields
+    of their own. Column names have two underscores for a dot and differ in more than letter case.
     """
-    rows = entries.select("entry_id", "feed_id", "file_seq", "payload").dropDuplicates(["entry_id"])
-    if names is None:
-        names = field_names(schema_changes(rows))
-    members = path_values(rows.where(F.col("payload").isNotNull())).where(F.col("kind").isNotNull() & (F.col("kind") != OBJECT))
-    # The paths are as many as the schema is wide; each is given its one name here.
-    paths = [r["path"] for r in members.select("path").distinct().limit(WIDEST + 1).collect()]
-    if len(paths) > WIDEST:
+    seen = stats.where("kind IS NOT NULL").groupBy("path", "kind").agg(F.sum("n").alias("n"), F.max("longest").alias("longest")).limit(8 * WIDEST + 1).collect()
+    if len({r["path"] for r in seen}) > WIDEST:
         raise ValueError(f"more than {WIDEST} fields")
-    known = [(p, re.sub(r"\.value$", "", consistent_names(p, names))) for p in sorted(paths) if not p.endswith(".origin")]
-    naming = F.broadcast(entries.sparkSession.createDataFrame(known, "path string, field string"))
-    named = members.join(naming, "path")
-    usual = named.groupBy("field", "kind").count().groupBy("field").agg(F.max_by("kind", F.struct("count", "kind")).alias("usual"))
-    typed = named.join(F.broadcast(usual), "field")
-    numeric = F.col("usual").isin(WHOLE, FRACTION)
-    number = F.when(numeric, F.coalesce(F.col("text").try_cast("double"), F.get(F.from_json(F.when(F.col("kind") == ARRAY, F.col("text")), "array<double>"), 0)))
-    logical = (F.col("usual") == BOOLEAN) & F.col("kind").isin(BOOLEAN, WHOLE, STRING)
-    text = F.when(logical, F.when(F.lower("text").isin("true", "1", "yes", "y"), "true").when(F.lower("text").isin("false", "0", "no", "n"), "false"))
-    text = text.when(~numeric & (F.col("usual") != BOOLEAN), F.col("text"))
-    typed = typed.select("entry_id", "field", number.alias("number"), text.alias("text"))
-    per = typed.groupBy("entry_id", "field").agg(F.max("number").alias("number"), F.max("text").alias("text"))
-    entry = per.groupBy("entry_id").agg(
-        F.collect_list(F.when(F.col("number").isNotNull(), F.struct("field", "number"))).alias("n"),
-        F.collect_list(F.when(F.col("text").isNotNull(), F.struct("field", "text"))).alias("t"),
-        F.array_sort(F.collect_list(F.when(F.col("number").isNull() & F.col("text").isNull(), F.col("field")))).alias("failed_casts"),
+    field = {p: consistent_names(p, names) for p in sorted({r["path"] for r in seen})}
+    kinds: dict[str, dict[str, int]] = {}
+    longest: dict[str, int] = {}
+    for r in seen:
+        own = kinds.setdefault(field[r["path"]], {})
+        own[r["kind"]] = own.get(r["kind"], 0) + r["n"]
+        longest[field[r["path"]]] = max(longest.get(field[r["path"]], 0), r["longest"] or 0)
+    types = {f: _column_type(k, longest[f]) for f, k in kinds.items()}
+    for path, name in field.items():
+        base = name[: -len(".value")] if name.endswith(".value") else None
+        if base in types and types[base] != OBJECT:
+            field[path] = base
+    columns, taken = {}, {"entry_id", "feed_id", "file_seq", "failed_casts"}
+    for f in sorted(set(field.values()), key=lambda f: (-sum(kinds[f].values()), f)):
+        if types[f] != OBJECT:
+            name = re.sub(r"[^A-Za-z0-9_]+", "_", f.replace(".", "__"))
+            while name.lower() in taken:
+                name += "_"
+            columns[f] = name
+            taken.add(name.lower())
+    return {p: (f, types[f]) for p, f in field.items()}, columns
+
+
+def _cast(text: Column, kind: Column, type_: Column) -> Column:
+    """The value's text in the form that its column's type casts, or null where it has none."""
+    one = F.from_json(text, "array<string>")
+    alone = F.when(kind == ARRAY, F.when(F.size(one) == 1, F.get(one, 0))).otherwise(text)
+    number = alone.try_cast("double")
+    truth = F.when(F.lower(alone).isin(*TRUE), "true").when(F.lower(alone).isin(*FALSE), "false")
+    return (
+        F.when(type_ == "string", alone)
+        .when(type_ == "array<string>", F.when(kind == ARRAY, text))
+        .when(kind == BOOLEAN, F.when(type_ == "boolean", truth))
+        .when(type_ == "boolean", truth)
+        .when(type_ == "double", F.when((kind != WHOLE) | (F.abs(number) <= EXACT), F.when(number.isNotNull() & ~F.isnan(number), alone)))
+        .when(type_ == "bigint", F.when(alone.try_cast("bigint").isNotNull() & (alone.try_cast("decimal(38,6)") == alone.try_cast("bigint")), alone))
+        .when(type_ == "decimal(38,0)", F.when(alone.try_cast("decimal(38,6)").isNotNull() & (alone.try_cast("decimal(38,6)") % 1 == 0) | alone.rlike(r"^-?\d{1,38}$"), alone))
     )
-    out = rows.select("entry_id", "feed_id", "file_seq").join(entry, "entry_id", "left")
-    return out.select(
-        "entry_id", "feed_id", "file_seq",
-        F.coalesce(F.map_from_entries("n"), F.create_map().cast("map<string,double>")).alias("numbers"),
-        F.coalesce(F.map_from_entries("t"), F.create_map().cast("map<string,string>")).alias("texts"),
-        F.coalesce("failed_casts", F.array().cast("array<string>")).alias("failed_casts"),
-    )
+
+
+def consistent_table(entries: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """One row per distinct entry: its payload's fields under one name each, in typed columns, with the casts that failed.
+
+    Columns: entry_id, feed_id, file_seq, one per field (see `table_fields`), and `failed_casts`, an array of (field,
+    kind, text) with every value that its column could not take, whole: values of another type that do not cast,
+    arrays of more than one element in place of a single value, and what a second path of one name holds. A field's
+    type is the one most of its values have over all files. Nothing of a payload but nulls is in neither. Repeated
+    entries count once; unreadable payloads give nulls; an empty table gives no rows and no fields. The statistics are
+    written once; the table itself is one pass over the rows, without a shuffle but that of repeated entries.
+    """
+    stats = cut(file_statistics(entries))
+    if names is None:
+        names = field_names(changes_between(stats))
+    paths, columns = table_fields(stats, names)
+    rows = entries.where(F.col("entry_id").isNotNull()).groupBy("entry_id").agg(F.min(F.struct("feed_id", "file_seq", "payload")).alias("_r")).select("entry_id", "_r.*")
+    level = _levels(rows, "payload")
+    member = lambda a: F.transform(a, lambda m: F.struct(m["path"].alias("path"), json_kind(m["schema"]).alias("kind"), F.call_function("try_variant_get", m["value"], F.lit("$"), F.lit("string")).alias("text")))
+    level = level.withColumn("_all", member(F.concat(*(F.col(f"_m{n}") for n in range(LEVELS)))))
+    if any(p.count(".") >= LEVELS for p in paths):
+        level = level.withColumn("_all", F.concat("_all", _deeper_all(F.expr(f"transform({_LAST}, m -> struct(m.path AS path, {_TEXT.format('m')} AS text))"))))
+    order = sorted(columns)
+    number = {f: i for i, f in enumerate(order)}
+    rest = sorted({f for f, _ in paths.values()} - set(order))
+    number |= {f: len(order) + i for i, f in enumerate(rest)}
+    # A literal: as many entries as the schema has paths.
+    literal = F.create_map(*(x for p, (f, t) in paths.items() for x in (F.lit(p), F.struct(F.lit(number[f]).alias("f"), F.lit(f).alias("name"), F.lit(t).alias("t"))))) if paths else None
+    if literal is None:
+        return rows.select("entry_id", "feed_id", "file_seq", F.array().cast("array<struct<field:string,kind:string,text:string>>").alias("failed_casts"))
+
+    def placed(m: Column) -> Column:
+        at = F.element_at(literal, m["path"])
+        return F.struct(at["f"].alias("f"), at["name"].alias("field"), at["t"].alias("t"), m["kind"].alias("kind"), m["text"].alias("text"), _cast(m["text"], m["kind"], at["t"]).alias("v"))
+
+    level = level.withColumn("_all", F.transform(F.filter("_all", lambda m: m["kind"].isNotNull()), placed))
+    level = level.withColumn("_own", F.filter("_all", lambda m: m["kind"] != OBJECT)).withColumn("_at", F.expr("transform(_own, m -> m.f)"))
+    lost = F.filter("_own", lambda m, i: m["v"].isNull() | (F.array_position("_at", m["f"]) != i + 1))
+    unwrapped = F.filter("_all", lambda m: (m["kind"] == OBJECT) & (m["t"] != OBJECT) & (F.array_position("_at", m["f"]) == 0))
+    failed = F.array_sort(F.transform(F.concat(lost, unwrapped), lambda m: F.struct(m["field"].alias("field"), m["kind"].alias("kind"), m["text"].alias("text"))))
+
+    def column(f: str) -> Column:
+        type_ = next(t for g, t in paths.values() if g == f)
+        text = F.expr(f"CASE WHEN array_position(_at, {number[f]}) > 0 THEN element_at(_own, cast(array_position(_at, {number[f]}) AS int)).v END")
+        return (F.from_json(text, type_) if type_ == "array<string>" else text.try_cast(type_)).alias(columns[f])
+
+    return level.select("entry_id", "feed_id", "file_seq", *(column(f) for f in order), failed.alias("failed_casts"))

@@ -23,6 +23,13 @@ def p1_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.consistent_table(_payloads(spark, sf_dir))
 
 
+def p1_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path-value form behind the table: each distinct entry's members at any depth, with their JSON types."""
+    rows = _payloads(spark, sf_dir).groupBy("entry_id").agg(F.min("payload").alias("payload"))
+    number = F.when(F.col("kind").isin(drift.WHOLE, drift.FRACTION), F.col("text").try_cast("double"))
+    return drift.path_values(rows).select("entry_id", "path", "kind", number.alias("number"), F.when(F.col("kind") == drift.STRING, F.col("text")).alias("text"))
+
+
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.replayed(table(spark, sf_dir, "ledger_entry").select("entry_id", *KEY, "source_observed_at", "available_at", "knowledge_at"), KEY)
 
@@ -63,10 +70,17 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(key[0].alias("table_name"), key[1].alias("row_key"), "utc_text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_table": p1_table, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p1_table": p1_table, "p1_members": p1_members, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p6_found": p6_found}
 
 #: DuckDB's side of those that SQL can say.
 ORACLE = {
+    "p1_members": r"""
+        WITH e AS (SELECT entry_id, min(payload) AS payload FROM ledger_entry WHERE state = 'success' GROUP BY entry_id),
+        o AS (SELECT * FROM e WHERE json_valid(payload) AND json_type(payload) = 'OBJECT')
+        SELECT entry_id, replace(substr(fullkey, 3), '"', '') AS path,
+               CASE WHEN type IN ('OBJECT', 'ARRAY', 'BOOLEAN') THEN lower(type) WHEN type = 'VARCHAR' THEN 'string' WHEN type IN ('UBIGINT', 'BIGINT', 'HUGEINT') THEN 'whole' WHEN type = 'DOUBLE' THEN 'fraction' END AS kind,
+               CASE WHEN type IN ('UBIGINT', 'BIGINT', 'HUGEINT', 'DOUBLE') THEN CAST(atom AS DOUBLE) END AS number, CASE WHEN type = 'VARCHAR' THEN json_extract_string(atom, '$') END AS text
+        FROM o, json_tree(o.payload) WHERE fullkey <> '$' AND NOT contains(fullkey, '[')""",
     "p2_found": """
         WITH e AS (
           SELECT entry_id, min(knowledge_at) AS known,
