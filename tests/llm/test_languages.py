@@ -48,13 +48,45 @@ def test_segments_and_wrong_labels(spark):
 
 
 def test_the_filter_has_every_language_of_an_ngram():
-    rates = {f"g{i}": [i % 2 * 1.0, (i // 2) % 2 * 1.0, 1.0] for i in range(20_000)}
-    known = languages.build_filter(rates, ["a", "b", "c"])
-    over = 0
-    for gram, rate in rates.items():
-        mask = -1
-        for slot in known.slots(gram):
-            mask &= int(known.masks[slot])
-        assert all(mask >> k & 1 for k, r in enumerate(rate) if r)
-        over += sum(mask >> k & 1 for k, r in enumerate(rate) if not r)
-    assert over / 20_000 < 0.01
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    hashes = rng.integers(0, 2**63, 20_000).astype(np.uint64)
+    i = np.arange(20_000)
+    rates = np.stack([i % 2, (i // 2) % 2, np.ones_like(i)], 1).astype(float)
+    known = languages.build_filter(hashes, rates, ["a", "b", "c"])
+    mask = np.full(len(hashes), 2**64 - 1, np.uint64)
+    for slot in languages.slots(hashes):
+        mask &= known.masks[slot]
+    bits = np.stack([(mask >> np.uint64(k)) & np.uint64(1) for k in range(3)], 1) == 1
+    assert bits[rates > 0].all() and bits[rates == 0].mean() < 0.01
+
+
+def test_ngrams_of_many_words_are_those_of_each():
+    """Against a plain loop: whole words of any length, each n-gram once, counts by slice against the masks."""
+    import numpy as np
+
+    random.seed(3)
+    words = ["".join(random.choice("abcé") for _ in range(random.randrange(0, 60))) for _ in range(200)] + ["ha" * 3000, "", "a"]
+    where, hashes = languages.grams(words)
+    for k, w in enumerate(words):
+        edged = f"_{w}_"
+        plain = {edged[i : i + n] for n in (3, 4) for i in range(len(edged) - n + 1)}
+        alone = languages.grams([w])
+        assert (where == k).sum() == len(plain) + 1 == len(alone[1])
+        assert set(hashes[where == k]) == set(alone[1])
+    known = languages.build_filter(hashes[::2], np.ones((len(hashes[::2]), 1)), ["x"])
+    counted = known.counts(words)
+    assert (known.counts(words[::-1])[::-1] == counted).all() and (counted[:, 0] == counted[:, 1]).all()
+    assert all(counted[k, 0] >= (where[::2] == k).sum() for k in range(len(words)))
+
+
+def test_a_language_that_only_wrong_labels_name_is_left_out(spark):
+    random.seed(9)
+    rows = [(i, " ".join(sentence(["en", "de", "pl"][i % 3]) for _ in range(4)), "fi" if i % 20 == 0 else ["en", "de", "pl"][i % 3]) for i in range(300)]
+    rows += [(1000, sentence("en", 3), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = languages.fit(docs)
+    assert known.languages == ["de", "en", "pl"]
+    short = [tuple(r) for r in languages.language_segments(docs.where("doc_id = 1000"), known).select("seg_no", "lang").collect()]
+    assert short == [(1, "en")]
