@@ -17,12 +17,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: What people write for the second part of a club's name.
-SHORT = {
-    "united": ("united", "utd", "u", "un", "untd"), "city": ("city", "cty", "c"), "town": ("town", "twn", "tn", "t"), "county": ("county", "cnty", "co", "cty co"),
-    "rovers": ("rovers", "rvrs", "rov", "rvs", "r"), "wanderers": ("wanderers", "wdrs", "wands", "wand", "wndrrs", "w"), "athletic": ("athletic", "ath", "athl", "athltc", "a"),
-    "albion": ("albion", "alb", "albn", "a"), "rangers": ("rangers", "rgrs", "rang"), "hotspur": ("hotspur", "hotsp"), "sporting": ("sporting", "sport", "sp"),
-}
 #: Words that say club, or nothing.
 CLUB = frozenset(("fc", "afc", "cfc", "the", "club", "football", "f", "a"))
 #: Words that make another team of a club's name.
@@ -34,6 +28,8 @@ ALIKE = str.maketrans({"0": "o", "1": "l", "5": "s", "3": "e", "$": "s", "@": "a
 _VOWELS = str.maketrans("", "", "aeiou")
 
 EXACT, LOOSE = 0, 2
+#: Places of a kind of form among the ranks, by how many letters it leaves out.
+LETTERS = 20
 
 
 def plain(name: str | None) -> str:
@@ -59,6 +55,18 @@ def words_of(name: str | None) -> list[str] | None:
     return [w if w.isdigit() else w.translate(ALIKE) for w in words] or None
 
 
+def abbreviations(word: str) -> set[str]:
+    """What people shorten a word to, by rule: its beginnings, a beginning with the last letter, and its first letter
+    with any of its other consonants in order."""
+    bones = word[0] + word[1:].translate(_VOWELS)
+    out = {word[:n] for n in range(1, len(word) + 1)} | {word[:n] + word[-1] for n in range(1, len(word) - 1)}
+    kept = {bones[0]}
+    for c in bones[1:]:
+        kept |= {k + c for k in kept}
+    # A lone "a" is no word's beginning but that of a second side.
+    return (out | kept) - {"a"}
+
+
 def forms(name: str, short_code: str | None, nickname: str | None, city: str | None) -> list[tuple[str, int, int]]:
     """(form without blanks, typos allowed, rank) of what a reference name goes by; a lower rank is believed first."""
     words = words_of(name) or []
@@ -66,28 +74,26 @@ def forms(name: str, short_code: str | None, nickname: str | None, city: str | N
         return []
     out: dict[tuple[str, int], int] = {}
 
-    def add(form: str, typos: int, rank: int) -> None:
+    def add(form: str, typos: int, rank: int, less: int = 0) -> None:
         if len(form) >= 2:
             typos = min(typos, 0 if len(form) < 5 else 1 if len(form) < 8 else 2)
-            out[form, typos] = min(rank, out.get((form, typos), 99))
+            out[form, typos] = min(rank * LETTERS + less, out.get((form, typos), 99 * LETTERS))
 
     whole = "".join(words)
     add(whole, LOOSE, 0)
     head, tail = words[:-1], words[-1]
     first = "".join(head)
     if head:
-        for short in SHORT.get(tail, (tail,)):
-            short = short.replace(" ", "")
-            rank = 0 if short == tail else 1
-            if len(short) > 1 or tail not in ("athletic", "albion"):
-                add(first + short, LOOSE, rank)
-                if len(short) > 2:
-                    add(short + first, LOOSE, 2)
-            thin = first[0] + first[1:].translate(_VOWELS)
-            add(thin + short, EXACT, 3)
-            for n in range(3, len(first)):
-                add(first[:n] + short, EXACT, 3)
         thin = first[0] + first[1:].translate(_VOWELS)
+        for short in abbreviations(tail):
+            # The fewer letters are left out, the sooner it is that word: "cty" is city before county.
+            less = min(LETTERS - 1, len(tail) - len(short))
+            add(first + short, LOOSE, 0 if short == tail else 1, less)
+            if len(short) > 2:
+                add(short + first, LOOSE, 2, less)
+            add(thin + short, EXACT, 3, less)
+            for n in range(3, len(first)):
+                add(first[:n] + short, EXACT, 3, less)
         add(thin + tail[0] + tail[1:].translate(_VOWELS), EXACT, 3)
         letters = "".join(w[0] for w in words)
         add(letters + "fc", EXACT, 4)
