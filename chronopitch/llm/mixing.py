@@ -36,9 +36,9 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 17) -> tuple[DataFrame
     budget_ratio of the tokens of all documents, those of other sources included. The mix has a row per document that
     occurs in it: doc_id, source, repeats (1 to max_repeats), n_tokens. Documents of a source occur its whole number
     of epochs; the rest of its size is filled in an order seeded by `seed` and doc_id, up to the first document that
-    would pass it. Documents without tokens, of null sources or of sources without a target are not in the mix.
+    would pass it, and then by the one document left that brings it nearest, if any does. Documents without tokens, of null sources or of sources without a target are not in the mix.
     Shares: source, target_share, feasible_share, actual_share, supply, tokens, epochs; sources without documents
-    have 0. Only one row per source reaches the driver.
+    have 0. Only one row per source of the targets reaches the driver; documents of other sources count in the budget.
     """
     spark = sized.sparkSession
     goals = targets.select(source_name("source").alias("source"), "target_share", "max_repeats", "budget_ratio").where("source IS NOT NULL")
@@ -47,11 +47,13 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 17) -> tuple[DataFrame
     place = F.xxhash64(F.lit(seed), F.col("doc_id"))
     rows = rows.withColumn("slice", F.pmod(place, F.lit(SLICES)).cast("int"))
     slices = rows.groupBy("source", "slice").agg(F.sum("n_tokens").alias("tokens"))
-    supply = {r["source"]: r["tokens"] for r in slices.groupBy("source").agg(F.sum("tokens").alias("tokens")).orderBy(F.desc("tokens")).limit(SOURCES).collect()}
     listed = goals.limit(SOURCES + 1).collect()
-    if len(listed) > SOURCES or len(supply) >= SOURCES:
-        raise ValueError(f"more than {SOURCES} sources")
-    total = sum(supply.values()) * max((r["budget_ratio"] or 0.0 for r in listed), default=0.0)
+    if len(listed) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources with a target")
+    wanted = F.broadcast(goals.select("source", F.lit(True).alias("listed")))
+    held = slices.join(wanted, "source", "left").groupBy(F.when(F.col("listed"), F.col("source")).alias("source")).agg(F.sum("tokens").alias("tokens")).collect()
+    supply = {r["source"]: r["tokens"] for r in held if r["source"] is not None}
+    total = sum(r["tokens"] for r in held) * max((r["budget_ratio"] or 0.0 for r in listed), default=0.0)
     whole = sum(max(0.0, r["target_share"] or 0.0) for r in listed) or 1.0
     shares = {r["source"]: max(0.0, r["target_share"] or 0.0) / whole for r in listed}
     limits = {r["source"]: float(max(0, r["max_repeats"] or 0) * supply.get(r["source"], 0)) for r in listed}
@@ -72,7 +74,13 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 17) -> tuple[DataFrame
     edge = rows.where(F.col("slice") == F.col("last"))
     edge = edge.withColumn("extra", (F.col("start") + F.sum("n_tokens").over(inner) <= F.col("part")).cast("int"))
     rest = rows.where(F.col("last").isNull() | (F.col("slice") != F.col("last"))).withColumn("extra", F.coalesce((F.col("slice") < F.col("last")).cast("int"), F.lit(0)))
-    out = rest.unionByName(edge).select("doc_id", "source", (F.col("epochs") + F.col("extra")).cast("int").alias("repeats"), "n_tokens").where("repeats > 0")
+    taken = rest.unionByName(edge).select("doc_id", "source", "epochs", "part", "extra", "n_tokens", place.alias("place"))
+    gap = taken.groupBy("source").agg((F.max("part") - F.sum(F.col("extra") * F.col("n_tokens"))).alias("gap")).where("gap > 0")
+    apart = F.abs(F.col("gap") - F.col("n_tokens"))
+    last = taken.where("extra = 0").join(F.broadcast(gap), "source").where(apart < F.col("gap"))
+    last = last.groupBy("source").agg(F.min(F.struct(apart.alias("apart"), "place", "doc_id")).alias("l")).select("source", F.col("l.doc_id").alias("last_id"))
+    taken = taken.join(F.broadcast(last), "source", "left").withColumn("extra", F.when(F.col("doc_id") == F.col("last_id"), 1).otherwise(F.col("extra")))
+    out = taken.select("doc_id", "source", (F.col("epochs") + F.col("extra")).cast("int").alias("repeats"), "n_tokens").where("repeats > 0")
     got = out.groupBy("source").agg(F.sum(F.col("repeats") * F.col("n_tokens")).alias("tokens"))
     report = plan.join(got, "source", "left").select("source", "target_share", "feasible_share", "supply", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
     everything = F.sum("tokens").over(Window.partitionBy(F.lit(0).alias("_all")))  # a row per source

@@ -64,3 +64,17 @@ def test_mix(spark):
     assert report["nowhere"]["tokens"] == 0 and sum(r["actual_share"] for r in report.values()) == pytest.approx(1.0)
     assert sorted(map(tuple, mixing.mix(sized, targets)[0].collect())) == sorted(map(tuple, got))
     assert mixing.mix(sized.limit(0), targets)[0].count() == 0
+
+
+def test_shares_come_within_one_small_document(spark):
+    """The rest of a source is filled to the document that brings it nearest; many sources without a target only count."""
+    rng = random.Random(5)
+    rows = [(i, "a", rng.randrange(1, 900)) for i in range(400)] + [(1000 + i, "b", rng.randrange(1, 50)) for i in range(400)] + [(5000 + i, f"other {i}", 2) for i in range(500)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("a", 0.7, 2, 0.25), ("b", 0.3, 1, 0.25)], "source string, target_share double, max_repeats int, budget_ratio double")
+    for seed in range(3):
+        out, report = mixing.mix(sized, targets, seed)
+        total = sum(r[2] for r in rows) * 0.25
+        for r in report.collect():
+            assert abs(r["tokens"] - r["feasible_share"] * total) <= 12, r
+        assert out.groupBy("doc_id").count().where("count > 1").count() == 0
