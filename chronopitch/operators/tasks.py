@@ -23,6 +23,26 @@ def schedule(fixtures: DataFrame, capabilities: list[str]) -> DataFrame:
     return rows.select("fixture_id", "kickoff_at", F.col("h.horizon").alias("horizon"), "capability", at.alias("scheduled_for"))
 
 
+#: Minutes before kick-off of each horizon, and the horizons that each capability is observed at.
+OFFSETS = {"T-72h": 4320, "T-24h": 1440, "T-6h": 360, "T-1h": 60, "T-15m": 15}
+_LATE = ("T-6h", "T-1h", "T-15m")
+PLAN = {
+    "fixture": tuple(OFFSETS), "lineups": ("T-1h", "T-15m"), "events": _LATE, "team_match_stats": _LATE, "shots": _LATE, "xgot": _LATE, "player_stats": _LATE,
+    "xg": ("T-72h", "T-24h"), "xg_a": ("T-72h", "T-24h"),
+}
+
+
+def plan(fixtures: DataFrame) -> DataFrame:
+    """All tasks of each fixture by PLAN, and one for its first observation: 27 in all. A task after kick-off is none.
+
+    fixtures: fixture_id, kickoff_at, seen_at (null where it was never observed). Rows explode where they lie.
+    """
+    spots = [F.struct(F.lit(c).alias("capability"), F.lit(h).alias("horizon"), (F.col("kickoff_at").cast("timestamp") - F.make_dt_interval(mins=F.lit(OFFSETS[h]))).alias("scheduled_for")) for c, own in PLAN.items() for h in own]
+    first = F.struct(F.lit("fixture").alias("capability"), F.lit("first_observed").alias("horizon"), F.col("seen_at").cast("timestamp").alias("scheduled_for"))
+    rows = fixtures.select("fixture_id", "kickoff_at", F.explode(F.array(*spots, first)).alias("t")).select("fixture_id", "kickoff_at", "t.*")
+    return rows.where(F.col("scheduled_for") <= F.col("kickoff_at").cast("timestamp"))
+
+
 def task_state(scheduled: Column, now: Column, outcome: Column, late_s: int = LATE_S) -> Column:
     """pending, due within the lateness bound, missed_observation past it; a final outcome stays."""
     late = F.unix_micros(now.cast("timestamp")) - F.unix_micros(scheduled.cast("timestamp"))

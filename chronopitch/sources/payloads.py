@@ -47,7 +47,7 @@ def _text(value) -> Column:
     return value.cast("string") if isinstance(value, Column) else F.lit(value)
 
 
-def entity(kind: str, source_id: Column, name: Column | None = None, **attributes: Column) -> Column:
+def entity(kind: str, source_id: Column, name: Column | None = None, /, **attributes: Column) -> Column:
     """One observation; attributes that are null are left out."""
     pairs = F.array(*(F.struct(F.lit(k).alias("key"), _text(v).alias("value")) for k, v in attributes.items())) if attributes else F.array().cast("array<struct<key:string,value:string>>")
     kept = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
@@ -202,8 +202,47 @@ def expected_goals(pages: DataFrame, html: str = "payload") -> DataFrame:
     get = lambda path, kind="double": F.try_variant_get("v", path, kind)
     home, away = F.coalesce(get("$.xG.h"), get("$.h_xg")), F.coalesce(get("$.xG.a"), get("$.a_xg"))
     kept = [c for c in pages.columns if c != html]
-    sides = F.array(*(F.struct(F.lit(s).alias("side"), own.alias("xg"), other.alias("xga")) for s, own, other in (("h", home, away), ("a", away, home))))
-    return rows.select(*kept, get("$.id", "string").alias("event"), F.explode(sides).alias("s")).select(*kept, F.concat_ws(":", "event", "s.side").alias("source_id"), "s.xg", "s.xga")
+    count = lambda *paths: F.coalesce(*(get(p, "bigint") for p in paths))
+    shots = {"h": count("$.shots.h", "$.h_shot"), "a": count("$.shots.a", "$.a_shot")}
+    sides = F.array(*(F.struct(F.lit(s).alias("side"), own.alias("xg"), other.alias("xga"), shots[s].alias("shots")) for s, own, other in (("h", home, away), ("a", away, home))))
+    return rows.select(*kept, get("$.id", "string").alias("event"), F.explode(sides).alias("s")).select(*kept, F.concat_ws(":", "event", "s.side").alias("source_id"), "s.xg", "s.xga", "s.shots")
+
+
+def _by_side(evidence: DataFrame, member: str, kind: str) -> DataFrame:
+    rows, kept = _read(evidence, f"{member} struct<h:{kind},a:{kind}>")
+    sides = F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"_p.{member}.{s}").alias("held")) for s in "ha"))
+    return rows.select(*kept, F.explode(sides).alias("s")).select(*kept, "s.side", "s.held")
+
+
+def roster_map(evidence: DataFrame) -> DataFrame:
+    """Players of both sides from a map by id: source_id, side, name, xg."""
+    kept = [c for c in evidence.columns if c != "payload"]
+    rows = _by_side(evidence, "rosters", "map<string,struct<player:string,xG:string>>")
+    return rows.select(*kept, "side", F.explode("held").alias("source_id", "p")).select(*kept, "source_id", "side", F.col("p.player").alias("name"), F.col("p.xG").try_cast("double").alias("xg"))
+
+
+def side_shots(evidence: DataFrame) -> DataFrame:
+    """Shots of both sides from a list each: source_id, side, xg."""
+    kept = [c for c in evidence.columns if c != "payload"]
+    rows = _by_side(evidence, "shots", "array<struct<id:string,xG:string>>")
+    return rows.select(*kept, "side", F.explode("held").alias("p")).select(*kept, F.col("p.id").alias("source_id"), "side", F.col("p.xG").try_cast("double").alias("xg"))
+
+
+def team_aliases(evidence: DataFrame) -> DataFrame:
+    """Teams with each of their other names, which the source writes with commas between."""
+    rows, kept = _read(evidence, "teams array<struct<idTeam:string,strTeam:string,strAlternate:string>>")
+    t = rows.select(*kept, F.explode("_p.teams").alias("t")).where("t.idTeam IS NOT NULL")
+    names = F.filter(F.transform(F.split("t.strAlternate", ","), lambda n: F.trim(n)), lambda n: n != "")
+    return t.select(*kept, F.col("t.idTeam").alias("source_id"), F.col("t.strTeam").alias("name"), F.explode(names).alias("alias"))
+
+
+def qualification_rows(evidence: DataFrame) -> DataFrame:
+    """A qualification report's measured and unknown capabilities as rows; a measure without a capability has the report's."""
+    rows, kept = _read(evidence, "capability string, sources array<struct<source:string,measured:array<struct<capability:string,value:bigint>>>>, unknown_capabilities array<struct<source:string,capability:string>>")
+    m = rows.select(*kept, F.col("_p.capability").alias("default"), F.explode("_p.sources").alias("s")).select(*kept, "default", F.col("s.source").alias("source"), F.explode("s.measured").alias("m"))
+    m = m.select(*kept, "source", F.coalesce("m.capability", "default").alias("capability"), F.col("m.value").alias("measured"), F.lit("measured").alias("state"))
+    u = rows.select(*kept, F.explode("_p.unknown_capabilities").alias("u")).select(*kept, "u.source", "u.capability", F.lit("unknown").alias("state"))
+    return m.unionByName(u, allowMissingColumns=True)
 
 
 def drifted(evidence: DataFrame, required: list[str]) -> DataFrame:
