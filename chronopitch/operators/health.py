@@ -38,8 +38,13 @@ def final_state(attempts: DataFrame, by: list[str]) -> DataFrame:
 
 
 def first_supported(attempts: DataFrame, by: list[str], rank: Column, supported: Column) -> DataFrame:
-    """The source that serves each request: the first in policy order that supports it; all attempts stay counted."""
-    return attempts.groupBy(*by).agg(F.min_by(F.when(supported, F.col("source")), F.when(supported, rank)).alias("source"), F.count("*").alias("attempts"), F.count_if(~supported).alias("failed_before"))
+    """The source that serves each request, the first in policy order that supports it; how many attempts there were, and
+    how many failed at sources before it (all failures where none serves). A request's sources are few, its attempts not."""
+    source = attempts.groupBy(*by, rank.alias("_rank")).agg(F.min("source").alias("source"), F.bool_or(supported).alias("ok"), F.count("*").alias("n"), F.count_if(~supported).alias("failed"))
+    served = F.min(F.when(F.col("ok"), F.struct("_rank", "source")))
+    out = source.groupBy(*by).agg(served.alias("s"), F.sum("n").alias("attempts"), F.collect_list(F.struct("_rank", "failed")).alias("f"))
+    before = F.filter("f", lambda x: F.col("s").isNull() | (x["_rank"] < F.col("s._rank")))
+    return out.select(*by, F.col("s.source").alias("source"), "attempts", F.aggregate(before, F.lit(0).cast("long"), lambda a, x: a + x["failed"]).alias("failed_before"))
 
 
 def circuit(attempts: DataFrame, threshold: int = 3, cooldown_s: int = 120) -> DataFrame:

@@ -243,7 +243,7 @@ pw AS (SELECT min(r.season) AS season, g.fixture_id, t, min(r.actual) AS actual,
 ls AS (SELECT season, t, avg(-ln(least(1.0, greatest(1e-15, CASE actual WHEN 0 THEN ph WHEN 1 THEN pd ELSE greatest(0.0, 1.0 - ph - pd) END)))) AS loss FROM pw GROUP BY season, t)
 SELECT season, round(arg_min(CAST(t AS DOUBLE), struct_pack(a := round(loss, 12), b := t)), 6) AS temperature, round(min(loss), 6) AS loss FROM ls GROUP BY season""")
 def temperature_grid_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The temperature of least loss over all forecasts, per season."""
+    """The temperature of least loss over all forecasts, per season; `calibration_promotion` splits by time."""
     losses = E.temperature_losses(_lines(spark, sf_dir).select("season", "home_line", "away_line", "actual"), ["season"])
     return _rounded(E.best_temperature(losses, ["season"]), "temperature", "loss")
 

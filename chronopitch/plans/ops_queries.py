@@ -40,7 +40,12 @@ def source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.source_health(signals, ["source", "capability"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {LEDGER}, o AS (SELECT CAST(fixture_id AS VARCHAR) || ':' || source AS key, entry_id, k % 3 = 0 AS ok, epoch_us(knowledge_at) AS t, row_number() OVER (PARTITION BY fixture_id, source ORDER BY knowledge_at, entry_id) AS n FROM ledger),
+f AS (SELECT key, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS entry_id, 'CLOSED' AS state, CAST(0 AS BIGINT) AS failures, CAST(0 AS BIGINT) AS opened FROM (SELECT DISTINCT key FROM o)
+  UNION ALL SELECT key, n, entry_id, CASE WHEN ok THEN 'CLOSED' WHEN cooled = 'HALF_OPEN' OR failures + 1 >= 3 THEN 'OPEN' ELSE cooled END, CASE WHEN ok THEN 0 WHEN cooled = 'HALF_OPEN' THEN failures ELSE failures + 1 END,
+    CASE WHEN NOT ok AND (cooled = 'HALF_OPEN' OR failures + 1 >= 3) THEN t ELSE opened END
+  FROM (SELECT o.key, o.n, o.entry_id, o.ok, o.t, f.failures, f.opened, CASE WHEN f.state = 'OPEN' AND o.t - f.opened >= 120000000 THEN 'HALF_OPEN' ELSE f.state END AS cooled FROM f JOIN o ON o.key = f.key AND o.n = f.n + 1) s)
+SELECT entry_id AS attempt_id, state AS circuit_state FROM f WHERE n > 0""")
 def circuit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state of each source's circuit after each attempt."""
     rows = ledger(spark, sf_dir).select(F.concat_ws(":", "fixture_id", "source").alias("key"), F.col("knowledge_at").alias("attempted_at"), F.col("entry_id").alias("attempt_id"), (F.pmod("k", F.lit(3)) == 0).alias("success"))
@@ -62,8 +67,9 @@ def final_state_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.final_state(_attempts(spark, sf_dir), ["fixture_id", "capability"])
 
 
-@query(f"""WITH {LEDGER}, a AS (SELECT fixture_id, capability, source, {_STATES} = 'supported' AS ok FROM ledger)
-SELECT fixture_id, capability, min(CASE WHEN ok THEN source END) AS source, count(*) AS attempts, count(*) FILTER (WHERE NOT ok) AS failed_before FROM a GROUP BY ALL""")
+@query(f"""WITH {LEDGER}, a AS (SELECT fixture_id, capability, source, {_STATES} = 'supported' AS ok FROM ledger),
+b AS (SELECT *, min(CASE WHEN ok THEN source END) OVER (PARTITION BY fixture_id, capability) AS served FROM a)
+SELECT fixture_id, capability, min(served) AS source, count(*) AS attempts, count(*) FILTER (WHERE NOT ok AND (served IS NULL OR source < served)) AS failed_before FROM b GROUP BY ALL""")
 def fallback_first_supported(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first source in policy order that serves a request."""
     return health.first_supported(_attempts(spark, sf_dir), ["fixture_id", "capability"], F.col("source"), F.col("state") == "supported")
@@ -122,7 +128,10 @@ def reschedule_supersede(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.superseded(t, outcomes)
 
 
-@query()
+@query(f"""WITH RECURSIVE {LEDGER}, o AS (SELECT fixture_id, entry_id, epoch_us(knowledge_at) AS t, row_number() OVER (PARTITION BY fixture_id ORDER BY knowledge_at, entry_id) AS n FROM ledger),
+f AS (SELECT fixture_id, n, entry_id, t AS last, TRUE AS due FROM o WHERE n = 1
+  UNION ALL SELECT o.fixture_id, o.n, o.entry_id, CASE WHEN o.t - f.last >= 86400000000 THEN o.t ELSE f.last END, o.t - f.last >= 86400000000 FROM f JOIN o ON o.fixture_id = f.fixture_id AND o.n = f.n + 1)
+SELECT entry_id AS poll_id FROM f WHERE due""")
 def cadence_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polls that keep a cadence of a day."""
     return tasks.cadence(ledger(spark, sf_dir).select(F.col("fixture_id").alias("key"), F.col("knowledge_at").alias("at"), F.col("entry_id").alias("poll_id")), 86_400)

@@ -4,28 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopitch.operators.late import CORRECTS, DAY, DROPPED, ON_TIME, real_time
+from chronopitch.operators.late import DAY, Replay, real_time
 from chronopitch.session import cut
 
 
-def late_counts(entries: DataFrame, hours: int = 48) -> DataFrame:
-    """Distinct entries per source, capability, UTC day of the event and outcome, as a stream in update mode.
+_LATE = "source string, capability string, day timestamp, first_count long, final_count long, corrections long, dropped long"
+_OPEN = "times array<long>, snapshots array<long>, ids array<string>, first long, corrections long, dropped long"
+
+
+def _replay(hours: int):
+    """Folds a day's arrivals into its replay; the day's state goes when no correction can come any more."""
+    cutoff = hours * 3_600_000_000
+
+    def fold(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:  # noqa: ANN001
+        if state.hasTimedOut:
+            state.remove()
+            return
+        source, capability, start = key
+        day = Replay(int(start), DAY, DAY // 24, cutoff)
+        ids: list = []
+        first = corrections = dropped = 0
+        if state.exists:
+            times, snapshots, ids, first, corrections, dropped = state.get
+            day.times, day.snapshots, ids = np.array(times, np.int64), np.array(snapshots, np.int64), list(ids)
+        for rows in batches:
+            rows = rows.sort_values(["known", "entry_id"]).drop_duplicates("entry_id")
+            rows = rows[~rows["entry_id"].isin(ids)]
+            at, known = rows["at"].to_numpy(np.int64), rows["known"].to_numpy(np.int64)
+            a, b = np.searchsorted(known, [day.end, day.closed_at])
+            for group in (at[:a], *np.split(at[a:b], np.flatnonzero(np.diff(known[a:b] // day.step)) + 1)):
+                if len(group):
+                    day.late(group)
+            ids += rows["entry_id"].tolist()
+            first, corrections, dropped = first + int(a), corrections + int(b - a), dropped + len(at) - int(b)
+        closed = day.closed_at // 1000
+        if state.getCurrentWatermarkMs() < closed:
+            state.update((day.times.tolist(), day.snapshots.tolist(), ids, first, corrections, dropped))
+            state.setTimeoutTimestamp(closed)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"source": [source], "capability": [capability], "day": [pd.Timestamp(int(start) * 1000)], "first_count": [first], "final_count": [int(day.snapshots[-1])], "corrections": [corrections], "dropped": [dropped]})
+
+    return fold
+
+
+def late_counts(entries: DataFrame, hours: int = 48, delay: str = "0 seconds") -> DataFrame:
+    """Per source, capability and UTC day of the event: the day's replay as a stream, in update mode.
 
     entries: entry_id, source, capability, source_observed_at, available_at, knowledge_at (the arrival time, which the
-    watermark follows). State is kept per day until no correction can come any more: the watermark on knowledge_at
-    drops repeats and closes days `hours` after their end.
+    watermark follows with `delay`). A day's state is its sorted event times with snapshots and its entry ids; it is
+    evicted when the watermark passes the day's end and `hours`. Each batch puts out the days it touched: a day's last
+    row holds its counts, except that what comes for a day whose state is gone has a row of its own with only `dropped`.
+    Null sources and capabilities are keys of their own; rows without an event time or an arrival time are left out.
     """
     known = F.col("knowledge_at").cast("timestamp")
     at = F.coalesce(real_time(F.col("source_observed_at"), known), real_time(F.col("available_at"), known)).cast("timestamp")
-    end = (F.floor(F.unix_micros(at) / DAY) + 1) * DAY
-    outcome = F.when(F.unix_micros(known) < end, ON_TIME).when(F.unix_micros(known) < end + hours * 3_600_000_000, CORRECTS).otherwise(DROPPED)
-    rows = entries.select("entry_id", "source", "capability", known.alias("known_at"), F.date_trunc("day", at).alias("day"), outcome.alias("outcome")).where("day IS NOT NULL")
-    rows = rows.withWatermark("known_at", f"{hours} hours").dropDuplicatesWithinWatermark(["entry_id"])
-    return rows.groupBy("source", "capability", "day", "outcome").agg(F.count("*").alias("n"))
+    rows = entries.select("entry_id", "source", "capability", known.alias("known_at"), F.unix_micros(at).alias("at"), F.unix_micros(known).alias("known")).where("at IS NOT NULL AND entry_id IS NOT NULL")
+    rows = rows.withColumn("start", F.expr(f"at div {DAY} * {DAY}")).withWatermark("known_at", delay)
+    return rows.groupBy("source", "capability", "start").applyInPandasWithState(_replay(hours), _LATE, _OPEN, "update", "EventTimeTimeout")
 
 
 def due_and_missed(tasks: DataFrame, outcomes: DataFrame, late: str = "15 minutes") -> DataFrame:
@@ -90,8 +132,10 @@ def idempotent_append(path: str, key: str) -> Callable[[DataFrame, int], None]:
         spark = batch.sparkSession
         try:
             before = spark.read.parquet(path).where(F.col("batch") < number).select(key)
-        except Exception:  # noqa: BLE001 - nothing is there yet
-            before = None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            before = None  # nothing is there yet
         rows = batch.dropDuplicates([key])
         rows = rows if before is None else rows.join(before, key, "left_anti")
         cut(rows).write.mode("overwrite").parquet(f"{path}/batch={number}")

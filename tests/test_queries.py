@@ -10,6 +10,8 @@ import pytest
 from chronopitch.plans import catalog
 
 DATA = "/root/testdata/sf0.001"
+#: What SQL cannot say; each has a test of its own against brute force.
+NO_SQL = {"p1_found", "p1_table", "p6_found", "calibration_promotion", "walk_forward_selection"}
 
 
 def plain(v):
@@ -39,6 +41,7 @@ def test_query(spark, data, oracle, name):
     columns = sorted(df.columns)
     got = sorted(str([plain(r[c]) for c in columns]) for r in df.collect())
     if name not in catalog.ORACLE:
+        assert name in NO_SQL and got
         return
     result = oracle.execute(catalog.ORACLE[name])
     names = [d[0] for d in result.description]
