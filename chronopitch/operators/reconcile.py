@@ -15,8 +15,13 @@ def keep_best(rows: DataFrame, key: list[str], complete: Column, *order: Column)
 
 
 def conflicts(rows: DataFrame, key: list[str], fields: list[str], *order: Column) -> DataFrame:
-    """Per key with rows that differ: how many rows and which fields differ."""
-    differ = F.array_compact(F.array(*(F.when(F.count_distinct(F.coalesce(F.col(f).cast("string"), F.lit("\0"))) > 1, F.lit(f)) for f in fields)))
+    """Per key with rows that differ: how many rows and which fields differ; a null differs from every value.
+
+    A field differs where its least and greatest value do, or where it has both nulls and values: plain aggregates, no
+    copy of the rows for each field. Fields must be of an orderable type.
+    """
+    apart = lambda f: (F.min(f) != F.max(f)) | ((F.count(f) > 0) & (F.count(f) < F.count("*")))
+    differ = F.array_compact(F.array(*(F.when(F.coalesce(apart(f), F.lit(False)), F.lit(f)) for f in fields)))
     return rows.groupBy(*key).agg(F.count("*").alias("n_rows"), differ.alias("differing")).where(F.size("differing") > 0)
 
 
